@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,18 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, cap=3).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def crc_part(parts: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op3_ecoc_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import ecoc_languages
+
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_part(3) == 1, F.lit(False)))
+    out = ecoc_languages(docs.select(F.struct("doc_id", "held_out").alias("row"), "text"), docs.where(~F.col("held_out")), id_col="row")
+    return out.select("row.doc_id", "row.held_out", "lang_pred", "score", "ambiguous")
+
+
 def op4_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import ring_shards
 
@@ -34,6 +46,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rules import adaptive_rules
+
+    return adaptive_rules(table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -61,7 +79,9 @@ FROM q LEFT JOIN c ON q.doc_id = c.doc_id LEFT JOIN f ON q.source IS NOT DISTINC
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
+    "op3_ecoc_languages": op3_ecoc_languages,
     "op4_ring_shards": op4_ring_shards,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_adaptive_rules": op6_adaptive_rules,
 }
 ORACLES: dict[str, str] = {"op1_pareto_mix": OP1_SQL}
