@@ -52,6 +52,12 @@ def op6_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_weighted_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prints import edited_fingerprints
+
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -83,5 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ring_shards": op4_ring_shards,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_adaptive_rules": op6_adaptive_rules,
+    "op10_weighted_prints": op10_weighted_prints,
 }
 ORACLES: dict[str, str] = {"op1_pareto_mix": OP1_SQL}
