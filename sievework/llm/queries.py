@@ -18,6 +18,15 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, cap=3).select("doc_id", "size", "source_size", "target", "taken")
 
 
+PII_KEY = "demonstration key; keep your own in a secret store"
+
+
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=PII_KEY, count_col="n_replaced")
+
+
 def crc_part(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
 
@@ -85,6 +94,7 @@ FROM q LEFT JOIN c ON q.doc_id = c.doc_id LEFT JOIN f ON q.source IS NOT DISTINC
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
+    "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
     "op3_ecoc_languages": op3_ecoc_languages,
     "op4_ring_shards": op4_ring_shards,
     "op5_byte_bpe": op5_byte_bpe,
