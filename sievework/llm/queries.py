@@ -61,6 +61,13 @@ def op6_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .links import Rule, link_filter
+
+    rules = [Rule("block", "net/"), Rule("allow", "example.net/en/"), Rule("block", "example.com/de/"), Rule("allow", "org/fr/")]
+    return link_filter(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_weighted_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .prints import edited_fingerprints
 
@@ -92,6 +99,40 @@ FROM q LEFT JOIN c ON q.doc_id = c.doc_id LEFT JOIN f ON q.source IS NOT DISTINC
 """
 
 
+def op9_sql(rounds: int = 12, damping: float = 0.85) -> str:
+    """The same rules and rounds, the rounds written out one after another."""
+    ways = {"t": ("allowed", "src", "dst"), "d": ("blocked", "dst", "src")}
+    steps = []
+    for w, (seed, a, b) in ways.items():
+        steps.append(f"{w}e AS (SELECT {a} AS s, {b} AS d, n / SUM(n) OVER (PARTITION BY {a}) AS share FROM e)")
+        steps.append(f"{w}0 AS (SELECT host, {seed} AS seed, {seed} AS score, host IN (SELECT s FROM {w}e) AS out FROM hosts)")
+        for k in range(rounds):
+            steps.append(
+                f"{w}{k + 1} AS (SELECT p.host, p.seed, {1 - damping} * p.seed + {damping} * (CASE WHEN p.out THEN 0.0 ELSE p.score END + COALESCE(f.flow, 0.0)) AS score, p.out "
+                f"FROM {w}{k} p LEFT JOIN (SELECT d, SUM(share * score) AS flow FROM {w}e JOIN {w}{k} ON s = host GROUP BY d) f ON f.d = p.host)"
+            )
+    return OP9_HEAD + ",\n".join(steps) + OP9_TAIL.format(n=rounds)
+
+
+OP9_HEAD = r"""
+WITH u AS (SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+p AS (SELECT page_id, html, COALESCE(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+             COALESCE(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+r(rule, rhost, rpath, said) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'), ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+m AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(said, length(rule)) AS said FROM p JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id),
+j AS (SELECT p.*, m.rule, m.said FROM p LEFT JOIN m USING (page_id)),
+l AS (SELECT host AS src, unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']?(https?://[^"''\s>]+)', 1)) AS x FROM j WHERE host <> ''),
+e AS (SELECT src, translate(regexp_extract(x, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst, COUNT(*) AS n FROM l GROUP BY ALL HAVING dst <> '' AND dst <> src),
+hosts AS (SELECT host, MAX(a) AS allowed, MAX(b) AS blocked FROM (
+  SELECT host, AVG(CASE WHEN said = 'allow' THEN 1.0 ELSE 0.0 END) AS a, AVG(CASE WHEN said = 'block' THEN 1.0 ELSE 0.0 END) AS b FROM j WHERE host <> '' GROUP BY host
+  UNION ALL SELECT dst, 0.0, 0.0 FROM e) GROUP BY host),
+"""
+OP9_TAIL = """
+SELECT page_id, j.host, path, rule,
+       COALESCE(said, CASE WHEN d.score >= 0.5 AND d.score >= 0.6 * (t.score + d.score) AND h.allowed <= 0.5 THEN 'block' END, 'allow') AS verdict
+FROM j LEFT JOIN t{n} t USING (host) LEFT JOIN d{n} d USING (host) LEFT JOIN hosts h USING (host)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
@@ -99,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ring_shards": op4_ring_shards,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_adaptive_rules": op6_adaptive_rules,
+    "op9_link_filter": op9_link_filter,
     "op10_weighted_prints": op10_weighted_prints,
 }
-ORACLES: dict[str, str] = {"op1_pareto_mix": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_pareto_mix": OP1_SQL, "op9_link_filter": op9_sql()}
