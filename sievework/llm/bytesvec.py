@@ -116,7 +116,7 @@ def shingle_hashes(words: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndar
             h = np.zeros(len(r), np.uint64)
             for j in range(few):
                 h += mix(words[rows[r] + j] + U(j + 1)) * U(2 * j + 3)
-            out[out_off[r]] = mix(h + U(few) * MIX1)
+            out[out_off[r]] = mix(h + np.full(1, few, np.uint64) * MIX1)
     return out, out_off
 
 

@@ -61,6 +61,12 @@ def op6_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op9_link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .links import Rule, link_filter
 
@@ -114,6 +120,17 @@ def op9_sql(rounds: int = 12, damping: float = 0.85) -> str:
     return OP9_HEAD + ",\n".join(steps) + OP9_TAIL.format(n=rounds)
 
 
+OP7_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * COUNT(*) >= 85 * (x.n + y.n - COUNT(*))),
+c(id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, c.r FROM c JOIN l ON l.a = c.id)
+SELECT d.doc_id, COALESCE(n.n, 0)::BIGINT AS n_shingles, MIN(c.r) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.id = d.doc_id GROUP BY d.doc_id, n.n
+"""
 OP9_HEAD = r"""
 WITH u AS (SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
 p AS (SELECT page_id, html, COALESCE(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
@@ -140,7 +157,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ring_shards": op4_ring_shards,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_adaptive_rules": op6_adaptive_rules,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_link_filter": op9_link_filter,
     "op10_weighted_prints": op10_weighted_prints,
 }
-ORACLES: dict[str, str] = {"op1_pareto_mix": OP1_SQL, "op9_link_filter": op9_sql()}
+ORACLES: dict[str, str] = {"op1_pareto_mix": OP1_SQL, "op7_jaccard_join": OP7_SQL, "op9_link_filter": op9_sql()}
