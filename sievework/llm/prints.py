@@ -111,28 +111,26 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
 
     Equal rows count as one document, and are returned as often as they are there. Null ids come last.
     """
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    thin = texts.select("id", "h", F.char_length("text").alias("n")).groupBy("id", "h", "n").agg(F.count("*").alias("copies"))
-    near = materialise(neighbours(thin, [F.col("id").desc_nulls_last(), F.col("h")], ["id", "h", "n", "copies"]))
-    lookup = near.select(F.col("id").alias("_id"), F.col("h").alias("_h"), "n", "prev_id", "prev_h", "prev_n")
-    keyed = texts.join(lookup, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")))
+    # A key that is never null keeps joins and sums on one partitioning.
+    key = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit(""))
+    texts = docs.select(key.alias("key"), F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    thin = texts.select("key", "id", "h", F.char_length("text").alias("n")).groupBy("key", "id", "h", "n").agg(F.count("*").alias("copies"))
+    near = materialise(neighbours(thin, [F.col("id").desc_nulls_last(), F.col("h")], ["key", "id", "h", "n", "copies"]))
+    texts = texts.drop("id")
+    keyed = texts.join(near.select("key", "h", "n", "prev_key", "prev_h", "prev_n"), ["key", "h"])
     head = F.substring(F.col("text"), F.lit(1), F.floor(F.col("prev_n") / 3).cast("int"))
-    donors = keyed.select(F.col("prev_id").alias("_to"), F.col("prev_h").alias("_to_h"), head.alias("head")).groupBy("_to", "_to_h").agg(F.first("head").alias("head"))
-    whole = keyed.select("id", "h", "n", "text")
+    donors = keyed.select(F.col("prev_key").alias("key"), F.col("prev_h").alias("h"), head.alias("head")).groupBy("key", "h").agg(F.first("head").alias("head"))
     kept = F.substring(F.col("text"), F.lit(1), (F.col("n") - F.floor(F.col("n") / 3)).cast("int"))
     both = (
-        whole.join(donors, F.col("id").eqNullSafe(F.col("_to")) & (F.col("h") == F.col("_to_h")))
-        .select("id", "h", "n", "text", F.concat(kept, "head").alias("edited"))
-        .select("id", "h", "n", F.inline(F.array(F.struct(F.lit("").alias("tag"), F.col("text").alias("words")), F.struct(F.sha2("edited", 256).alias("tag"), F.col("edited").alias("words")))))
+        keyed.select("key", "h", "n", "text").join(donors, ["key", "h"])
+        .select("key", "h", "n", "text", F.concat(kept, "head").alias("edited"))
+        .select("key", "h", "n", F.inline(F.array(F.struct(F.lit("").alias("tag"), F.col("text").alias("words")), F.struct(F.sha2("edited", 256).alias("tag"), F.col("edited").alias("words")))))
     )
-    marks = bag_fingerprints(both, F.col("words"), ["id", "h", "n", "tag"], samples)
-    marks = materialise(
-        marks.groupBy("id", "h", "n").agg(F.max("tag").alias("edited_sha256"), F.max(F.when(F.col("tag") == "", F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(F.col("tag") != "", F.col("fingerprint"))).alias("edited_fingerprint"))
-    )
-    # Each row of near names a document, its copies and the one before it, whose next it is.
-    other = marks.select(F.col("id").alias("_to"), F.col("h").alias("_to_h"), F.col("fingerprint").alias("next_fingerprint"))
-    links = near.select(F.col("id").alias("_id"), F.col("h").alias("_h"), "copies", "next_id", "next_h")
-    out = marks.join(links, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))).join(other, F.col("next_id").eqNullSafe(F.col("_to")) & (F.col("next_h") == F.col("_to_h")))
+    marks = bag_fingerprints(both, F.col("words"), ["key", "h", "n", "tag"], samples)
+    own, edited = F.max(F.when(F.col("tag") == "", F.col("fingerprint"))), F.max(F.when(F.col("tag") != "", F.col("fingerprint")))
+    marks = materialise(marks.groupBy("key", "h", "n").agg(F.max("tag").alias("edited_sha256"), own.alias("fingerprint"), edited.alias("edited_fingerprint")))
+    other = marks.select(F.col("key").alias("next_key"), F.col("h").alias("next_h"), F.col("fingerprint").alias("next_fingerprint"))
+    out = marks.join(near.select("key", "h", "id", "copies", "next_key", "next_h"), ["key", "h"]).join(other, ["next_key", "next_h"])
     out = out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
     return out.select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint",
