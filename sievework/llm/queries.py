@@ -67,6 +67,15 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op8_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .votes import quality_votes
+
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_part(4) == 2, F.lit(False)))
+    labels = table(spark, sf_dir, "labels").where(crc_part(4) != 2)
+    out = quality_votes(docs, labels, carry=("held_out",))
+    return out.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op9_link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .links import Rule, link_filter
 
@@ -158,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_adaptive_rules": op6_adaptive_rules,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_neighbour_votes": op8_neighbour_votes,
     "op9_link_filter": op9_link_filter,
     "op10_weighted_prints": op10_weighted_prints,
 }
