@@ -16,8 +16,6 @@ Null texts stay null, empty ones empty. Whole texts are read. There is no shuffl
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -158,27 +156,40 @@ def ipv4(m: Column, key: str) -> Column:
 ERAS = (("1820-01-01", 92, 397), ("1920-01-01", 75, 487), ("2020-01-01", 92, 397))
 
 
-def joined(b: int, s: Column) -> Column:
-    return (s["l"] * b + s["r"]).cast("int")
-
-
 def permute_day(day: Column, key: str) -> Column:
     """A date of 1820 to 2119 to another of the same hundred years; others stay."""
-    out = day
-    for first, a, b in ERAS:
-        start = F.to_date(F.lit(first))
-        n = F.datediff(day, start)
-        new = F.date_add(start, let(feistel(F.floor(n / b), n % b, F.lit(a), F.lit(b), F.lit("date" + first), key), partial(joined, b)))
-        out = F.when((n >= 0) & (n < a * b), new).otherwise(out)
-    return out
+    era = F.lit(None)
+    for first, a, b in reversed(ERAS):
+        here = F.struct(F.to_date(F.lit(first)).alias("start"), F.lit(a).alias("a"), F.lit(b).alias("b"))
+        n = F.datediff(day, F.to_date(F.lit(first)))
+        era = F.when((n >= 0) & (n < a * b), here).otherwise(era)
+
+    def within(e: Column) -> Column:
+        n = F.datediff(day, e["start"])
+        new = feistel(F.floor(n / e["b"]), n % e["b"], e["a"], e["b"], F.concat(F.lit("date"), e["start"].cast("string")), key)
+        return F.when(e.isNull(), day).otherwise(F.date_add(e["start"], let(new, lambda s: (s["l"] * e["b"] + s["r"]).cast("int"))))
+
+    return let(era, within)
+
+
+def read_day(m: Column, when: Column, form: str) -> Column:
+    """struct(day, form) if ``when`` holds and ``m`` is a date of the form, else null."""
+    day = F.when(when, F.try_to_timestamp(m, F.lit(form)).cast("date"))
+    return let(day, lambda d: F.when(d.isNotNull(), F.struct(d.alias("day"), F.lit(form).alias("form"))))
 
 
 def date(m: Column, key: str) -> Column:
     """Days come first with dots; with slashes months do, unless only the other reading is a date."""
     sep = F.substr(m, F.lit(3), F.lit(1))
     forms = (("yyyy-MM-dd", m.rlike("^[0-9]{4}-")), ("dd.MM.yyyy", sep == "."), ("MM/dd/yyyy", sep == "/"), ("dd/MM/yyyy", sep == "/"))
-    found = F.coalesce(*(F.when(when & F.try_to_timestamp(m, F.lit(form)).isNotNull(), F.date_format(permute_day(F.to_date(F.try_to_timestamp(m, F.lit(form))), key), form)) for form, when in forms))
-    return F.coalesce(found, m)
+    found = F.coalesce(*(read_day(m, when, form) for form, when in forms))
+
+    def written(x: Column) -> Column:
+        new = permute_day(x["day"], key)
+        out = F.lit(None).cast("string")
+        return F.when(x.isNull(), m).otherwise(let(new, lambda d: F.coalesce(*(F.when(x["form"] == form, F.date_format(d, form)) for form, _ in forms), out)))
+
+    return let(found, written)
 
 
 def secret(m: Column, key: str) -> Column:
