@@ -12,10 +12,10 @@ their whole sets. Then within blocks of candidates of one query: DivideSkip over
 inverted lists finds those that reach T. The global order is by counts of 2**20 shingle buckets over all
 documents; any order would be right, rare ones first makes lists short.
 
-Equal sets are one class, whose least id stands for it. Candidates are found in two rounds, so that n
-near copies don't cost n**2 pairs. First every document is compared with the one of its lists' least
-documents that it shares most lists with; the links found are joined to components. Then all pairs that
-share lists and aren't in one component yet are counted, and those that reach the bound are compared.
+Equal sets are one class, whose least id stands for it. So that n near copies don't cost n**2 pairs, some
+rounds first compare a few hubs of every list with its other documents, and the links found are joined to
+components. Then all pairs that share a list and aren't in one component yet are found; those that occur
+together in enough short lists are compared. A pair within one component needs no comparison: its link changes nothing.
 
 Words are maximal runs of ``[^\\x20\\x09-\\x0D]`` after A-Z are lower-cased. A text of fewer than k words is one
 shingle; null and empty texts and those without words have an empty set and link with nothing. Null ids
@@ -43,6 +43,7 @@ ORDER_BITS = 20
 ORDER_PARTS = 64
 FILTER_BITS = 24
 BLOCK = 256
+HUBS = (1, 4)
 MU = 0.0085
 
 
@@ -219,33 +220,61 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def sizes_fit(percent: int) -> Column:
+    return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+
+
+def least_shared(percent: int) -> Column:
+    """In how many of both short lists a pair of sizes na and nb occurs at least, if it reaches the threshold."""
+    return F.greatest(F.lit(1), least_overlap(F.col("na"), F.col("nb"), percent) - F.ceil(F.greatest("na", "nb") * percent / 100.0 - 1e-9) + 1)
+
+
+def mixed_lists(postings: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """Postings of lists with documents of two components or more, with c, the component."""
+    placed = postings.withColumn("c", F.col("id")) if joined is None else postings.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    span = Window.partitionBy("token")
+    return placed.withColumn("lo", F.min("c").over(span)).withColumn("hi", F.max("c").over(span)).where("lo <> hi").drop("lo", "hi")
+
+
+def star_pairs(mixed: DataFrame, held: DataFrame, turn: int, hubs: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of a list's hubs and its other documents. In the first turn the hub is the document with the longest lists, which stands in the middle of a family; then hubs are drawn."""
+    ranked = mixed.join(held.select("id", "score"), "id")
+    first = F.col("score").desc() if turn == 0 else F.xxhash64("id", F.lit(turn))
+    at = F.row_number().over(Window.partitionBy("token").orderBy(first, "id"))
+    top = ranked.withColumn("at", at).where(F.col("at") <= hubs).select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
+    others = mixed.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
+    pairs = top.join(others, "token").where((F.col("ca") != F.col("cb")) & sizes_fit(percent))
+    pairs = pairs.groupBy("a", "na", "b", "nb").agg(F.count("*").alias("shared")).where(F.col("shared") >= least_shared(percent))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: id, n_shingles and component_id, the least id that links of ``percent`` or more reach."""
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     lists = materialise(short_lists(named, k, percent, shingle_counts(named, k)))
     classes = materialise(lists.where("n > 0 and id is not null").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
     heads = lists.where("n > 0").join(classes.select("id", F.col("key").alias("k2")), "id").where("key = k2").dropDuplicates(["id"])
-    postings = materialise(heads.select("id", "n", F.explode("lists").alias("token")).repartition("token"))
-    bound = lambda: F.greatest(F.lit(1), least_overlap(F.col("na"), F.col("nb"), percent) - F.ceil(F.greatest("na", "nb") * percent / 100.0 - 1e-9) + 1)
-    fits = lambda: 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-
-    first = F.min(F.struct("id", "n")).over(Window.partitionBy("token"))
-    stars = postings.withColumn("hub", first).where("hub.id <> id").select(F.col("hub.id").alias("a"), F.col("hub.n").alias("na"), F.col("id").alias("b"), F.col("n").alias("nb")).where(fits())
-    stars = stars.groupBy("a", "na", "b", "nb").agg(F.count("*").alias("shared")).where(F.col("shared") >= bound())
-    stars = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
-    stars = materialise(stars)
-    links = materialise(verified(stars, whole_sets(named, stars.select(F.explode(F.array("a", "b")).alias("id")), k), percent))
-    joined = materialise(components(links))
-
-    # What is left: lists with documents of two components or more.
-    placed = postings.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
-    span = Window.partitionBy("token")
-    mixed = materialise(placed.withColumn("lo", F.min("c").over(span)).withColumn("hi", F.max("c").over(span)).where("lo <> hi").select("token", "id", "n", "c"))
-    left = mixed.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
+    # Rows (token, id) of the short lists that hold two documents at least. Position tells the shorter lists of an index, n - T(n, n) + 1, from those of a probe.
+    index_size = F.col("n") - least_overlap(F.col("n"), F.col("n"), percent) + 1
+    postings = heads.select("id", "n", F.posexplode("lists").alias("at", "token")).select("token", "id", "n", (F.col("at") < index_size).alias("indexed"))
+    postings = materialise(postings.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1"))
+    held = materialise(postings.groupBy("id").agg(F.collect_list("token").alias("tokens"), F.sum("df").alias("score")))
+    links = joined = None
+    for turn, hubs in enumerate(HUBS):
+        found = materialise(star_pairs(mixed_lists(postings, joined), held, turn, hubs, percent))
+        new = materialise(verified(found, whole_sets(named, found.select(F.explode(F.array("a", "b")).alias("id")), k), percent))
+        links = new if links is None else links.unionByName(new)
+        joined = materialise(components(links))
+
+    # What is left: pairs in lists of two components or more that aren't in one component yet.
+    mixed = mixed_lists(postings, joined)
+    left = mixed.where("indexed").select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
     right = mixed.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    rest = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits())
-    rest = materialise(rest.groupBy("a", "na", "b", "nb").agg(F.count("*").alias("shared")).where(F.col("shared") >= bound()).select("a", "b"))
-    more = materialise(verified(rest, whole_sets(named, rest.select(F.explode(F.array("a", "b")).alias("id")), k), percent))
+    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    rest = left.join(right, "token").where(smaller & (F.col("ca") != F.col("cb")) & sizes_fit(percent)).select("a", "na", "b", "nb").distinct()
+    rest = rest.join(held.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a").join(held.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
+    rest = materialise(rest.where(F.size(F.array_intersect("ta", "tb")) >= least_shared(percent)).select("a", "b"))
+    more = verified(rest, whole_sets(named, rest.select(F.explode(F.array("a", "b")).alias("id")), k), percent)
     final = materialise(components(links.unionByName(more)))
 
     out = lists.select("id", "n", "key").join(classes.select("key", F.col("id").alias("head")), "key", "left")
