@@ -254,9 +254,8 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     lists = materialise(short_lists(named, k, percent, shingle_counts(named, k)))
     classes = materialise(lists.where("n > 0 and id is not null").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
     heads = lists.where("n > 0").join(classes.select("id", F.col("key").alias("k2")), "id").where("key = k2").dropDuplicates(["id"])
-    # Rows (token, id) of the short lists that hold two documents at least. Position tells the shorter lists of an index, n - T(n, n) + 1, from those of a probe.
-    index_size = F.col("n") - least_overlap(F.col("n"), F.col("n"), percent) + 1
-    postings = heads.select("id", "n", F.posexplode("lists").alias("at", "token")).select("token", "id", "n", (F.col("at") < index_size).alias("indexed"))
+    # Rows (token, id) of the short lists that hold two documents at least, with the token's place in the document's order.
+    postings = heads.select("id", "n", F.posexplode("lists").alias("at", "token")).select("token", "id", "n", "at")
     postings = materialise(postings.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1"))
     held = materialise(postings.groupBy("id").agg(F.collect_list("token").alias("tokens"), F.sum("df").alias("score")))
     links = joined = None
@@ -268,10 +267,13 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     # What is left: pairs in lists of two components or more that aren't in one component yet.
     mixed = mixed_lists(postings, joined)
-    left = mixed.where("indexed").select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    right = mixed.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
+    # They share one of the first n - T(a, b) + 1 places of either.
+    left = mixed.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("at").alias("pa"))
+    right = mixed.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("at").alias("pb"))
+    needed = least_overlap(F.col("na"), F.col("nb"), percent)
+    early = (F.col("pa") <= F.col("na") - needed) & (F.col("pb") <= F.col("nb") - needed)
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    rest = left.join(right, "token").where(smaller & (F.col("ca") != F.col("cb")) & sizes_fit(percent)).select("a", "na", "b", "nb").distinct()
+    rest = left.join(right, "token").where(smaller & early & (F.col("ca") != F.col("cb")) & sizes_fit(percent)).select("a", "na", "b", "nb").distinct()
     rest = rest.join(held.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a").join(held.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
     rest = materialise(rest.where(F.size(F.array_intersect("ta", "tb")) >= least_shared(percent)).select("a", "b"))
     more = verified(rest, whole_sets(named, rest.select(F.explode(F.array("a", "b")).alias("id")), k), percent)
