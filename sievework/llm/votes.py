@@ -114,7 +114,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array([x.tobytes() for x in tf], pa.binary())], names=["id", "label", "tf"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.join(F.broadcast(sample), F.col(id_col) == F.col("_id")).select("_id", "_label", text_col).mapInArrow(run, f"id {kind}, label int, tf binary")
+    plain = docs.select(F.col(id_col).alias("_own"), F.col(text_col).alias("_text"))
+    rows = plain.join(F.broadcast(sample), F.col("_own") == F.col("_id")).select("_id", "_label", "_text").mapInArrow(run, f"id {kind}, label int, tf binary")
     rows = rows.dropDuplicates(["id"]).orderBy("id").collect()
     y = np.array([r["label"] for r in rows])
     if len(set(y.tolist())) < 2:
