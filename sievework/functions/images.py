@@ -265,3 +265,23 @@ def pixel_embedder(images: list[np.ndarray]) -> np.ndarray:
     """8 x 8 grey means less their average: a stand-in for a model."""
     x = np.stack([resize(grey(i), 8, 8).ravel() for i in images])
     return x - x.mean(1, keepdims=True) + 1e-6
+
+
+def png_bytes(x: np.ndarray) -> bytes:
+    """(height, width, 3) bytes as a PNG file."""
+    h, w = x.shape[:2]
+
+    def chunk(name: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + name + body + struct.pack(">I", zlib.crc32(name + body))
+
+    raw = np.concatenate([np.zeros((h, 1), np.uint8), x.reshape(h, w * 3).astype(np.uint8)], 1)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw.tobytes())) + chunk(b"IEND", b"")
+
+
+def thumbnail(b: bytes, side: int = 256) -> bytes | None:
+    """A PNG of at most ``side`` pixels, or None if the image can't be decoded."""
+    x = decode(b)
+    if x is None:
+        return None
+    f = min(1.0, side / max(x.shape[:2]))
+    return png_bytes(resize(x, max(1, round(x.shape[1] * f)), max(1, round(x.shape[0] * f))) if f < 1 else x)

@@ -301,7 +301,7 @@ def unsigned_ids(df: DataFrame, *columns: str) -> DataFrame:
     """Parquet's unsigned 64-bit numbers, which Spark reads as decimals, as signed numbers of the same bits."""
     for c in columns:
         if dict(df.dtypes)[c].startswith("decimal"):
-            df = df.withColumn(c, F.when(F.col(c) >= 1 << 63, F.col(c) - F.lit(1 << 64).cast("decimal(20,0)")).otherwise(F.col(c)).cast("long"))
+            df = df.withColumn(c, F.when(F.col(c) >= F.expr("9223372036854775808BD"), F.col(c) - F.expr("18446744073709551616BD")).otherwise(F.col(c)).cast("long"))
     return df
 
 
