@@ -140,6 +140,46 @@ c(id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, c.r FROM c J
 SELECT d.doc_id, COALESCE(n.n, 0)::BIGINT AS n_shingles, MIN(c.r) AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.id = d.doc_id GROUP BY d.doc_id, n.n
 """
+def op6_sql(reach: float = 6.0, least: int = 50) -> str:
+    """Statistics, bucket counts and fences as in rules.py, the three levels written out."""
+    from .rules import MEASURES, STEP
+
+    levels, picks = [], []
+    for k, by in enumerate((["lang", "source"], ["lang"], [])):
+        keys = "".join(f"{c}, " for c in by)
+        low = "CASE measure " + " ".join(f"WHEN '{m}' THEN q1 - {reach} * (q3 - q1) - {b}" for m, (b, _) in MEASURES.items() if b is not None) + " END"
+        high = "CASE measure " + " ".join(f"WHEN '{m}' THEN q3 + {reach} * (q3 - q1) + {a}" for m, (_, a) in MEASURES.items()) + " END"
+        part = f"PARTITION BY {keys}measure"
+        levels.append(f"m{k} AS (SELECT {keys}measure, bucket, SUM(n) AS n FROM sk GROUP BY {keys}measure, bucket)")
+        levels.append(f"r{k} AS (SELECT *, SUM(n) OVER ({part} ORDER BY bucket) AS upto, SUM(n) OVER ({part}) AS total FROM m{k})")
+        at = lambda q: f"MIN(CASE WHEN upto >= {q} * total THEN bucket END)"
+        value = lambda q: f"CASE WHEN {at(q)} <= -400 THEN 0.0 ELSE exp(({at(q)} + 0.5) * ln({STEP})) END"
+        levels.append(f"q{k} AS (SELECT {keys}measure, {value(0.25)} AS q1, {value(0.75)} AS q3, MAX(total) AS n FROM r{k} GROUP BY {keys}measure)")
+        levels.append(f"f{k} AS (SELECT {keys}measure, n, {low} AS low, {high} AS high FROM q{k})")
+    for m, (below, _) in MEASURES.items():
+        joins = " ".join(f"LEFT JOIN f{k} ON f{k}.measure = '{m}'" + "".join(f" AND f{k}.{c} IS NOT DISTINCT FROM j.{c}" for c in by) for k, by in enumerate((["lang", "source"], ["lang"], [])))
+        pick = lambda side: f"CASE WHEN f0.n >= {least} THEN f0.{side} WHEN f1.n >= {least} THEN f1.{side} ELSE f2.{side} END"
+        test = f"j.{m} <= {pick('high')}" + (f" AND j.{m} >= {pick('low')}" if below is not None else "")
+        picks.append(f"ok_{m} AS (SELECT j.doc_id, {test} AS ok FROM j {joins})")
+    every = ",\n".join([*levels, *picks])
+    ok = " AND ".join(f"COALESCE(ok_{m}.ok, FALSE)" for m in MEASURES)
+    joined = " ".join(f"JOIN ok_{m} ON ok_{m}.doc_id = j.doc_id" for m in MEASURES)
+    unions = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, CASE WHEN {m} < 0.001 THEN -400 ELSE floor(ln(greatest({m}, 0.001)) / ln({STEP})) END::INT AS bucket FROM j WHERE NOT base_failed" for m in MEASURES)
+    return OP6_HEAD + f"sk AS (SELECT lang, source, measure, bucket, COUNT(*) AS n FROM ({unions}) GROUP BY ALL),\n{every}\nSELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {ok} AS kept FROM j {joined}"
+
+
+OP6_HEAD = r"""
+WITH w AS (SELECT doc_id, lang, source, text, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(COALESCE(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+g AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 6, 1))) AS i FROM w)),
+twice AS (SELECT doc_id, g FROM g GROUP BY doc_id, g HAVING COUNT(*) > 1),
+rep AS (SELECT doc_id, COUNT(DISTINCT p) AS n FROM (SELECT g.doc_id, unnest(range(i, i + 8)) AS p FROM g JOIN twice USING (doc_id, g)) GROUP BY doc_id),
+b AS (SELECT w.doc_id, lang, source, len(w)::BIGINT AS n_words, COALESCE(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(COALESCE(text, ''), '[#*$%&|<>]'))::BIGINT AS n_symbols,
+      (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, COALESCE(rep.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
+c AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b),
+j AS (SELECT *, CASE WHEN NOT base_failed THEN n_symbols::DOUBLE / word_chars END AS symbols, CASE WHEN NOT base_failed THEN word_chars::DOUBLE / n_words END AS word_length,
+      CASE WHEN NOT base_failed THEN n_dup_lines::DOUBLE / n_lines END AS repeated_lines FROM c),
+"""
 OP9_HEAD = r"""
 WITH u AS (SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
 p AS (SELECT page_id, html, COALESCE(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
@@ -171,4 +211,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_link_filter": op9_link_filter,
     "op10_weighted_prints": op10_weighted_prints,
 }
-ORACLES: dict[str, str] = {"op1_pareto_mix": OP1_SQL, "op7_jaccard_join": OP7_SQL, "op9_link_filter": op9_sql()}
+ORACLES: dict[str, str] = {"op1_pareto_mix": OP1_SQL, "op6_adaptive_rules": op6_sql(), "op7_jaccard_join": OP7_SQL, "op9_link_filter": op9_sql()}
