@@ -128,9 +128,11 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     )
     marks = bag_fingerprints(both, F.col("words"), ["key", "h", "n", "tag"], samples)
     own, edited = F.max(F.when(F.col("tag") == "", F.col("fingerprint"))), F.max(F.when(F.col("tag") != "", F.col("fingerprint")))
-    marks = materialise(marks.groupBy("key", "h", "n").agg(F.max("tag").alias("edited_sha256"), own.alias("fingerprint"), edited.alias("edited_fingerprint")))
+    packed = (F.unhex(F.max("tag")).alias("edited_sha256"), F.unhex(own).alias("fingerprint"), F.unhex(edited).alias("edited_fingerprint"))
+    marks = materialise(marks.groupBy("key", "h", "n").agg(*packed))  # bytes, half of what hexadecimal digits take
     other = marks.select(F.col("key").alias("next_key"), F.col("h").alias("next_h"), F.col("fingerprint").alias("next_fingerprint"))
     out = marks.join(near.select("key", "h", "id", "copies", "next_key", "next_h"), ["key", "h"]).join(other, ["next_key", "next_h"])
+    out = out.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint", "next_fingerprint")})
     out = out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
     return out.select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint",
