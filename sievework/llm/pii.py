@@ -6,7 +6,8 @@ country, length and right check digits (mod 97); phone numbers keep country code
 security numbers stay within valid areas, groups and serials; IPv4 addresses stay addresses; dates stay
 dates of the same hundred years in the same notation; long hexadecimal secrets keep length and case. Equal values get equal
 pseudonyms in every document, different values of a format different ones. E-mail addresses, which have no
-fixed format, get a keyed digest. Numbers that fail validation and all other text stay as they are.
+fixed format, get a keyed digest. An account number ends where its country's length or else its check digits say, so
+words and numbers after it are read on their own. Numbers that fail validation and all other text stay as they are.
 
 The network alternates between two digits of any radices a and b, left + F(right) mod a and right + F(left) mod b, so
 every domain of a x b values is permuted without walking cycles. F is SHA-256 of key, format, round and value.
@@ -23,14 +24,29 @@ ROUNDS = 8
 # Formats as patterns; the first that matches at a place is tried.
 EMAIL = r"(?<![\w.+%-])[\w.+%-]+@[\w-]+(?:\.[\w-]+)+"
 SECRET = r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])"
-IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![\p{L}\p{N}])"
+IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}"
+# Lengths of account numbers by country; those of other countries may have any.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO FK GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+REGISTERED = r"\A(?:" + "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()) + r")\z"
+# At each place, the longest run that could hold an account number, and a letter or number right after it.
+IBAN_RUN = rf"(?<![\p{{L}}\p{{N}}])(?=({IBAN}[\p{{L}}\p{{N}}]?))"
 CARD = r"(?<![\p{L}\p{N}])(?<![\p{N}][.,-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{6} \d{4,5}|\d{4}-\d{6}-\d{4,5})(?![\p{L}\p{N}])"
-PHONE = r"(?<![\p{L}\p{N}])(?:(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]?(?:\(\d{1,4}\)|\d{2,4})){2,4})(?![\p{L}\p{N}])"
+CARD_AFTER = r"[ ]\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}(?![ -]?\d)|[ ]\d{4}[ -]\d{6}[ -]\d{4,5}(?![ -]?\d)"
+# Digits of an international number in groups of any length, at most 14 after the country code; a card number after it isn't taken in.
+ABROAD = r"\+\d{1,3}(?:(?!" + CARD_AFTER + r")(?:[ .-]?\(?|\)[ .-]?)\d){6,14}\)?"
+# North American numbers, and others from their trunk zero on, with 9 to 12 digits.
+HOME = r"(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|(?<![\p{N}][.,-])(?:(?:\+?1[ .-]?)?[2-9]\d{9}|(?=\(?(?:[ ./()-]{0,2}\d){9,12}(?![\p{L}\p{N}]))(?:\(0\d{1,4}\)|0\d{1,4})(?:(?!" + CARD_AFTER + r")[ ./-]?\d){4,9})(?![.,]\d)"
+PHONE = rf"(?<![\p{{L}}\p{{N}}])(?:{HOME}|{ABROAD})(?![\p{{L}}\p{{N}}])"
 SSN = r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])"
 IPV4 = r"(?<![\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)"
 DATE = r"(?<![\p{N}./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\p{N}/-])"
 KINDS = {"email": EMAIL, "secret": SECRET, "iban": IBAN, "ssn": SSN, "date": DATE, "ipv4": IPV4, "card": CARD, "phone": PHONE}
-ANY = "|".join(f"(?:{p})" for p in KINDS.values())
+# All but account numbers, which are found by their check digits first: before and after their turn.
+BEFORE, AFTER = ("|".join(f"(?:{KINDS[k]})" for k in kinds) for kinds in (("email", "secret"), ("ssn", "date", "ipv4", "card", "phone")))
 MOST_DIGITS = 30
 
 
@@ -111,6 +127,31 @@ def card(m: Column, key: str) -> Column:
     return let(digits_of(m), valid)
 
 
+def ibans_in(text: Column) -> Column:
+    """The valid account numbers of a text, long ones first: at each place the one of its country's length, or else the longest run up to a boundary."""
+
+    def best(run: Column) -> Column:
+        def valid(p: Column) -> Column:
+            t = F.replace(p, F.lit(" "), F.lit(""))
+            return mod97(F.concat(F.substr(t, F.lit(5)), F.substr(t, F.lit(1), F.lit(4)))) == 1
+
+        starts = F.transform(F.sequence(F.length(run), F.lit(15), F.lit(-1)), lambda n: F.struct(F.substr(run, F.lit(1), n).alias("p"), F.substr(run, n + 1, F.lit(1)).alias("next")))
+        whole = F.filter(starts, lambda x: ~x["next"].rlike(r"[\p{L}\p{N}]") & x["p"].rlike(rf"\A{IBAN}\z"))
+        fit = F.filter(F.transform(whole, lambda x: x["p"]), valid)
+        return let(fit, lambda v: F.coalesce(F.get(F.filter(v, lambda p: p.rlike(REGISTERED)), F.lit(0)), F.get(v, F.lit(0))))
+
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(IBAN_RUN), F.lit(1)))
+    found = F.array_distinct(F.filter(F.transform(runs, best), lambda p: p.isNotNull()))
+    return F.transform(F.reverse(F.array_sort(F.transform(found, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))), lambda x: x["p"])
+
+
+def pattern_for(text: Column) -> Column:
+    """The pattern of all kinds, with the text's own valid account numbers."""
+    own = F.when(text.rlike(IBAN), F.array_join(ibans_in(text), "|"))
+    alone = F.when(own != "", F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), own, F.lit(r")(?![\p{L}\p{N}])|")))
+    return F.concat(F.lit(BEFORE + "|"), F.coalesce(alone, F.lit("")), F.lit(AFTER))
+
+
 def iban(m: Column, key: str) -> Column:
     def valid(t: Column) -> Column:
         country, rest = F.substr(t, F.lit(1), F.lit(2)), F.substr(t, F.lit(5))
@@ -128,7 +169,7 @@ def phone(m: Column, key: str) -> Column:
     rest = F.substr(m, F.length(country) + 1)
 
     def valid(d: Column) -> Column:
-        return F.when(F.length(d).between(6, 14), F.concat(country, refill(rest, permute_digits(d, F.concat(F.lit("phone"), country), key), "[0-9]"))).otherwise(m)
+        return F.when(F.length(d).between(4, 14), F.concat(country, refill(rest, permute_digits(d, F.concat(F.lit("phone"), country), key), "[0-9]"))).otherwise(m)
 
     return let(digits_of(rest), valid)
 
@@ -230,11 +271,11 @@ def pseudonym(m: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, *, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with pseudonyms in ``text_col`` and, if named, the number of replaced values in ``count_col``."""
     text = F.col(text_col)
-    found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    out = docs.withColumn("_found", found).withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key))))
-    parts = F.split(text, ANY, -1)
+    found = F.when(F.col("_any").isNotNull(), F.regexp_extract_all(text, F.col("_any"), F.lit(0)))
+    out = docs.withColumn("_any", F.when(text.rlike("[0-9@]"), pattern_for(text))).withColumn("_found", found).withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key))))
+    parts = F.split(text, F.col("_any"), -1)
     spliced = let(parts, lambda p: F.array_join(F.transform(p, lambda x, i: F.concat(x, F.coalesce(F.get(F.col("_new"), i), F.lit("")))), ""))
     changed = F.coalesce(F.size(F.filter(F.arrays_zip("_found", "_new"), lambda z: z["_found"] != z["_new"])), F.lit(0))
     if count_col:
         out = out.withColumn(count_col, F.when(F.col("_new").isNull(), 0).otherwise(changed))
-    return out.withColumn(text_col, F.when(F.col("_new").isNull(), text).otherwise(spliced)).drop("_found", "_new")
+    return out.withColumn(text_col, F.when(F.col("_new").isNull(), text).otherwise(spliced)).drop("_any", "_found", "_new")

@@ -178,6 +178,25 @@ def test_pseudonyms_permute(spark):
     assert a != b and "4000000000000003" in a and "12345" in a and "555-7713" not in a and "a@b.co" not in a
 
 
+def test_pseudonyms_in_running_text(spark):
+    hidden = {
+        "pay DE89 3704 0044 0532 0130 00 BIC COBADEFF": ["0532 0130"], "DE89370400440532013000 EUR 200": ["0400440532"], "DE89370400440532013000 2024": ["0400440532"],
+        "NO9386011117947 AND GB82 WEST 1234 5698 7654 32 SENT": ["86011117947", "5698 7654"], "AT12 DE89 3704 0044 0532 0130 00": ["0532 0130"],
+        "AB12 4111 1111 1111 1111 OK": ["1111 1111"], "NO12 340 4111 1111 1111 1111": ["1111 1111"], "DZ580002100001113000000570 PAID": ["0002100001113"],
+        "call 555 123 4567 now": ["123 4567"], "call 5551234567.": ["5551234567"], "call 020 7946 0958, please": ["7946 0958"], "call (020) 7946 0958": ["7946 0958"],
+        "call +33 1 23 45 67 89 or": ["45 67"], "call +49 30 901820": ["901820"], "call 01 23 45 67 89": ["45 67"], "+33 1 23 45 67 89 4111 1111 1111 1111": ["45 67", "1111 1111"],
+        "+44 20 7946 0958 4111 1111 1111 1111": ["7946", "1111 1111"], "call +1 (415) 555-7713": ["555-7713"], "+49 (0)30 901820": ["901820"],
+    }
+    stay = ["DE88 3704 0044 0532 0130 00", "order 1700000000 of 12345", "0.1234567890 and 3.0123456789", "2147483647.25", "PAGE 12 OF 2024"]
+    df = spark.createDataFrame(list(enumerate([*hidden, *stay])), "doc_id long, text string")
+    out = [r["text"] for r in pii.pseudonymise(df, key="k").orderBy("doc_id").collect()]
+    for (text, gone), new in zip(hidden.items(), out):
+        assert all(g not in new for g in gone) and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text), (text, new)
+    assert out[len(hidden) :] == stay
+    ibans = [re.search(r"DE\d{20}|DE\d\d(?: \d{4}){4} \d\d", x)[0].replace(" ", "") for x in (*out[:3], out[4])]
+    assert len(set(ibans)) == 1 and int("".join(str(int(c, 36)) for c in ibans[0][4:] + ibans[0][:4])) % 97 == 1
+
+
 def test_link_graph(spark):
     rng = random.Random(4)
     hosts = ["good.org", "bad.net", *(f"h{i}.com" for i in range(8))]
