@@ -355,10 +355,18 @@ pc AS (SELECT p.vec_id AS pruned_image_id, arg_min(k.vec_id, (list_sum(list_tran
 
 @query(f"WITH {PAIRS_C} SELECT * FROM pc")
 def q_pairs_cluster(spark, sf):
+    """With 16 kept rows a cluster, as its SQL has them; q_pairs_cluster_whole has the operator's 2,048."""
     e = t(spark, sf, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("label").alias("cluster_id"), "embedding", (F.col("vec_id") % 9 == 0).alias("pruned"))
     return cluster.pairs_in_clusters(e, kept_sample=16, seed=SEED).withColumn("dist", F.round("dist", 5))
 
 
+@query(f"WITH {PAIRS_C.replace('place <= 16', 'place <= 2048')} SELECT * FROM pc")
+def q_pairs_cluster_whole(spark, sf):
+    """With the reference's 2,048 kept rows a cluster."""
+    e = t(spark, sf, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("label").alias("cluster_id"), "embedding", (F.col("vec_id") % 9 == 0).alias("pruned"))
+    return cluster.pairs_in_clusters(e, seed=SEED).withColumn("dist", F.round("dist", 5))
+
+
 @query(f"WITH {PAIRS_D} SELECT kind, cluster_id, COUNT(*) AS n FROM pd GROUP BY kind, cluster_id")
 def q_pairs_summary(spark, sf):
     return tables.pairs_summary(q_pairs_dedup(spark, sf))

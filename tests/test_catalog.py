@@ -1,3 +1,5 @@
+import math
+
 import pytest
 
 from sievework import catalog
@@ -14,6 +16,15 @@ def test_kmeans_sizes_add_up(spark, sf):
     assert out.groupBy().sum("size").first()[0] == spark.read.parquet(f"{sf}/embeddings.parquet").count()
 
 
+def test_cluster_pairs_are_nearest(spark, sf):
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    kept = {c: [r for r in rows if r["label"] == c and r["vec_id"] % 9] for c in {r["label"] for r in rows}}
+    got = {r["pruned_image_id"]: (r["kept_image_id"], r["dist"]) for r in catalog.QUERIES["q_pairs_cluster_whole"](spark, sf).collect()}
+    far = {r["vec_id"]: [(math.dist(r["embedding"], k["embedding"]), k["vec_id"]) for k in kept[r["label"]]] for r in rows if r["vec_id"] % 9 == 0 and kept[r["label"]]}
+    assert set(got) == set(far)
+    assert all(abs(got[i][1] - min(d)[0]) < 1e-4 and dict((k, x) for x, k in d)[got[i][0]] - min(d)[0] < 1e-4 for i, d in far.items())
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
