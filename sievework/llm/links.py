@@ -3,11 +3,13 @@
 A url's rule is the longest that fits its host and path. Hosts whose pages are allowed by rules seed
 trust, hosts whose pages are blocked by rules seed distrust, each with the share of such pages among its
 own. Trust flows along links by personalised PageRank; distrust flows backwards, from a host to those
-that link to it. Both run a fixed number of rounds over the edges between hosts. A host is blocked if its
-distrust is at least ``threshold`` of its trust and distrust, reaches ``least`` of a full seed, and more
+that link to it. Both run a fixed number of rounds over the edges between hosts. As distrust is divided among all
+linkers of a host, a host's exposure is taken too: its blocked seed or, if more, damping x the exposure of the hosts
+it links to, on average over its links. The larger of distrust and exposure counts. A host is blocked if that
+is at least ``threshold`` of it and trust, reaches ``least`` of a full seed, and more
 than ``share`` of its own pages is not spoken for by allowing rules; pages without a rule get their host's verdict.
 
-Links are the http(s) urls in href attributes; relative links stay on their host and are no edges. Links from or
+Links are the http(s) urls and those from // on in href attributes; other relative links stay on their host and are no edges. Links from or
 to an empty host count for nothing. The mass of a host without links stays with it.
 
 Null urls and urls without ``://`` have empty host and path, fit no rule and are allowed. Null and empty pages have no links. Repeated
@@ -82,6 +84,20 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int, damping: float) -
     return scores
 
 
+def expose(edges: DataFrame, seeds: DataFrame, rounds: int, damping: float) -> DataFrame:
+    """(host, exposure): the larger of the seed and damping x the links' average exposure, ``rounds`` times. edges as in propagate."""
+    scores = seeds.select("host", F.col("seed").alias("exposure"))
+    if edges.isEmpty():
+        return scores
+    for k in range(rounds):
+        flow = edges.join(scores.where("exposure > 0"), edges["dst"] == scores["host"]).groupBy("src").agg(F.sum(F.col("share") * F.col("exposure")).alias("flow"))
+        own = seeds.join(flow, seeds["host"] == flow["src"], "left")
+        scores = own.select("host", F.greatest("seed", damping * F.coalesce("flow", F.lit(0.0))).alias("exposure"))
+        if k % 4 == 3 or k == rounds - 1:
+            scores = materialise(scores)
+    return scores
+
+
 def link_filter(pages: DataFrame, rules: list[Rule], *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rounds: int = 12, damping: float = 0.85, threshold: float = 0.6, least: float = 0.5, share: float = 0.5) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, and its host's trust and distrust."""
     url = F.col(url_col)
@@ -92,8 +108,8 @@ def link_filter(pages: DataFrame, rules: list[Rule], *, id_col: str = "page_id",
         judged.where("host <> ''").groupBy("host")
         .agg(F.avg(F.when(F.col("_said") == "allow", 1.0).otherwise(0.0)).alias("allowed"), F.avg(F.when(F.col("_said") == "block", 1.0).otherwise(0.0)).alias("blocked"))
     )
-    href = F.regexp_extract_all(F.coalesce("_html", F.lit("")), F.lit(r"(?i)href\s*=\s*[\"']?(https?://[^\"'\s>]+)"), F.lit(1))
-    links = judged.where("host <> ''").select(F.col("host").alias("src"), F.explode(href).alias("_to")).select("src", host_of(F.col("_to")).alias("dst")).where("dst <> '' and src <> dst")
+    href = F.regexp_extract_all(F.coalesce("_html", F.lit("")), F.lit(r"(?i)href\s*=\s*[\"']?((?:https?:)?//[^\"'\s>]+)"), F.lit(1))
+    links = judged.where("host <> ''").select(F.col("host").alias("src"), F.explode(href).alias("_to")).select("src", host_of(F.when(F.startswith("_to", F.lit("//")), F.concat(F.lit("http:"), "_to")).otherwise(F.col("_to"))).alias("dst")).where("dst <> '' and src <> dst")
     edges = materialise(links.groupBy("src", "dst").agg(F.count("*").alias("n")))
     everyone = materialise(hosts.unionByName(edges.select(F.col("dst").alias("host"), F.lit(0.0).alias("allowed"), F.lit(0.0).alias("blocked"))).groupBy("host").agg(F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked")))
 
@@ -101,11 +117,14 @@ def link_filter(pages: DataFrame, rules: list[Rule], *, id_col: str = "page_id",
         total = e.groupBy("src").agg(F.sum("n").alias("all"))
         return materialise(e.join(total, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share")))
 
-    trust = propagate(shares(edges), everyone.select("host", F.col("allowed").alias("seed")), rounds, damping)
+    forward = shares(edges)
+    trust = propagate(forward, everyone.select("host", F.col("allowed").alias("seed")), rounds, damping)
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
     distrust = propagate(shares(back), everyone.select("host", F.col("blocked").alias("seed")), rounds, damping)
-    scored = everyone.join(trust.withColumnRenamed("score", "trust"), "host").join(distrust.withColumnRenamed("score", "distrust"), "host")
-    bad = (F.col("distrust") >= least) & (F.col("distrust") >= threshold * (F.col("trust") + F.col("distrust"))) & (F.col("allowed") <= 1 - share)
+    exposure = expose(forward, everyone.select("host", F.col("blocked").alias("seed")), rounds, damping)
+    scored = everyone.join(trust.withColumnRenamed("score", "trust"), "host").join(distrust.withColumnRenamed("score", "distrust"), "host").join(exposure, "host")
+    against = F.greatest("distrust", "exposure")
+    bad = (against >= least) & (against >= threshold * (F.col("trust") + against)) & (F.col("allowed") <= 1 - share)
     scored = materialise(scored.select(F.col("host").alias("_host"), "trust", "distrust", bad.alias("_bad")))
     out = judged.select("_id", "host", "path", "rule", "_said").join(scored, F.col("host") == F.col("_host"), "left")
     return out.select(F.col("_id").alias(id_col), "host", "path", "rule", F.coalesce("_said", F.when(F.col("_bad"), "block"), F.lit("allow")).alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

@@ -226,6 +226,19 @@ def test_link_graph(spark):
     assert all(abs(got[h][0] - trust[h]) < 1e-9 and abs(got[h][1] - distrust[h]) < 1e-9 for h in got)
 
 
+def test_link_verdicts(spark):
+    rs = [links.Rule("block", "net/"), links.Rule("block", "mixed.com/bad/"), links.Rule("allow", "org/")]
+    out = {f"farm{i}.com": [f"bad{k}.net" for k in range(5)] for i in range(20)}  # a farm
+    out |= {f"one{i}.com": ["lone.net"] for i in range(10)} | {"fan.com": ["mixed.com"], "slash.com": ["//bad0.net/x"], "far.com": ["farm0.com"]}
+    out |= {"paper.com": ["bad0.net", "a.org", "b.org", "c.org"], "a.org": ["paper.com"], "plain.com": ["paper.com"], **{f"bad{k}.net": [] for k in range(5)}, "lone.net": []}
+    pages = [(f"http://{h}/p", "".join(f'<a href="{x if x[0] == "/" else "https://" + x + "/"}">y</a>' for x in to)) for h, to in out.items()]
+    pages += [(f"http://mixed.com/bad/{i}", "") for i in range(9)] + [("http://mixed.com/p", "")]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    verdict = {r["host"]: r["verdict"] for r in links.link_filter(df, rs).where("path = '/p'").collect()}
+    blocked = {h for h, v in verdict.items() if v == "block"}
+    assert blocked == set(verdict) - {"paper.com", "a.org", "plain.com"}
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
