@@ -4,7 +4,9 @@ A document's measures (symbols per character of words, mean word length, share o
 into logarithmic buckets of 2 % width. Counts of buckets are the sketch: they merge by addition, are the
 same in any order of rows, give quantiles within 1 % and have a few hundred rows per group. Sketches per
 (language, source) merge into those per language and of all documents, which serve groups of few rows.
-Fences stand a number of interquartile ranges outside the quartiles, and a fixed slack beyond. The fences
+Fences stand a number of interquartile ranges outside the quartiles, and a fixed slack beyond. For shares
+(measures without a lower fence) a group's fence is at most its language's and that of all documents, so a
+source full of junk can't lift its own. Where both quartiles are 0 the slack alone is the fence. The fences
 are joined to the documents, and a document within all of them and passing the fixed rules is kept.
 
 Null texts have no words and fail the fixed rules; null languages and sources form groups of their own.
@@ -150,7 +152,10 @@ def adaptive_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     within = F.lit(True)
     for m, (below, _) in MEASURES.items():
-        within = within & (F.col(m) <= fence(f"{m}_high"))
+        high = fence(f"{m}_high")
+        if below is None:
+            high = F.least(high, *(F.when(found[k], F.col(f"{m}_high_{k}")) for k in (1, 2)))
+        within = within & (F.col(m) <= high)
         if below is not None:
             within = within & (F.col(m) >= fence(f"{m}_low"))
     return out.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept"))

@@ -107,6 +107,13 @@ def test_rules_query(spark, sf):
         assert r["base_failed"] == (len(w) < 20 or 100 * r["n_repeat_words"] > 30 * len(w)) and not (r["base_failed"] and r["kept"])
 
 
+def test_junk_source_has_no_fence_of_its_own(spark):
+    prose = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    rows = [(i, prose(i) + (" ##########" * 12 if i % 3 == 0 and i < 90 else ""), "en", "junk" if i < 90 else "clean") for i in range(500)]
+    kept = {r["doc_id"] for r in rules.adaptive_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), window=32).where("kept").collect()}
+    assert kept == {i for i in range(500) if i % 3 or i >= 90}
+
+
 def test_ring_equals_key_by_key(spark):
     df = spark.createDataFrame([(i, f"text {i}") for i in range(500)], "doc_id long, text string")
     for slack in (0.0, 0.1):
