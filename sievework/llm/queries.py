@@ -102,12 +102,18 @@ l AS (SELECT *, (SUM(source_size) OVER ())::DOUBLE AS total,
              (SUM(w) OVER (ORDER BY most / w, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS left_ FROM w),
 m AS (SELECT *, MAX((total - full_) / left_) OVER () AS level FROM l),
 t AS (SELECT source, source_size, LEAST(most::DOUBLE, level * w) AS target FROM m),
-t2 AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM t),
-t3 AS (SELECT *, floor(rate)::BIGINT AS whole, target - floor(rate) * source_size AS rest, (rate - floor(rate)) / (1 - (rate - floor(rate))) AS odds FROM t2),
-q AS (SELECT d.*, t3.source_size, target, whole, rest, CASE WHEN odds > 0 THEN u / (1 - u) / odds END AS q FROM d JOIN t3 ON d.source IS NOT DISTINCT FROM t3.source),
+k1 AS (SELECT source, CASE WHEN size >= 100 THEN 2 ELSE 1 END AS cls, SUM(size)::BIGINT AS in_class FROM d GROUP BY ALL),
+k2 AS (SELECT k1.*, source_size, target AS aim, cls * greatest(in_class, 1) AS w, 3 * in_class AS most FROM k1 JOIN t ON k1.source IS NOT DISTINCT FROM t.source),
+k3 AS (SELECT *, COALESCE(SUM(most) OVER (PARTITION BY source ORDER BY most / w, cls ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS full_,
+              (SUM(w) OVER (PARTITION BY source ORDER BY most / w, cls ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS left_ FROM k2),
+k4 AS (SELECT *, LEAST(most::DOUBLE, (MAX((aim - full_) / left_) OVER (PARTITION BY source)) * w) AS target FROM k3),
+k5 AS (SELECT *, CASE WHEN in_class > 0 THEN least(target / in_class, 3.0) ELSE 0.0 END AS rate FROM k4),
+k6 AS (SELECT source, cls, source_size, aim, floor(rate)::BIGINT AS whole, (rate - floor(rate)) / (1 - (rate - floor(rate))) AS odds,
+              aim - SUM(floor(rate) * in_class) OVER (PARTITION BY source) AS rest FROM k5),
+q AS (SELECT d.*, k6.source_size, aim AS target, whole, rest, CASE WHEN odds > 0 THEN u / (1 - u) / odds END AS q FROM d JOIN k6 ON d.source IS NOT DISTINCT FROM k6.source AND cls = CASE WHEN size >= 100 THEN 2 ELSE 1 END),
 c AS (SELECT *, SUM(size) OVER (PARTITION BY source ORDER BY q, doc_id NULLS FIRST) AS cum FROM q WHERE q IS NOT NULL),
 g AS (SELECT source, COALESCE(MAX(CASE WHEN cum <= rest THEN cum END), 0) AS got FROM c GROUP BY source),
-f AS (SELECT source, first(doc_id ORDER BY ABS(rest - got - size), q, doc_id) AS fill FROM c JOIN g USING (source) WHERE cum > rest AND ABS(rest - got - size) < rest - got GROUP BY source)
+f AS (SELECT c.source, first(doc_id ORDER BY ABS(rest - got - size), q, doc_id) AS fill FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source WHERE cum > rest AND ABS(rest - got - size) < rest - got GROUP BY c.source)
 SELECT q.doc_id, q.size, q.source_size, q.target,
        (q.size * (q.whole + CASE WHEN c.cum <= q.rest OR f.fill = q.doc_id THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM q LEFT JOIN c ON q.doc_id = c.doc_id LEFT JOIN f ON q.source IS NOT DISTINCT FROM f.source
@@ -140,32 +146,43 @@ c(id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, c.r FROM c J
 SELECT d.doc_id, COALESCE(n.n, 0)::BIGINT AS n_shingles, MIN(c.r) AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.id = d.doc_id GROUP BY d.doc_id, n.n
 """
-def op6_sql(reach: float = 6.0, least: int = 50) -> str:
+
+
+def op6_sql() -> str:
     """Statistics, bucket counts and fences as in rules.py, the three levels written out."""
-    from .rules import MEASURES, STEP
+    from .rules import MEASURES, PRIOR, STEP
 
-    levels, picks = [], []
-    for k, by in enumerate((["lang", "source"], ["lang"], [])):
+    levels = (["lang", "source"], ["lang"], [])
+    parts, picks = [], []
+    for k, by in enumerate(levels):
         keys = "".join(f"{c}, " for c in by)
-        low = "CASE measure " + " ".join(f"WHEN '{m}' THEN q1 - {reach} * (q3 - q1) - {b}" for m, (b, _) in MEASURES.items() if b is not None) + " END"
-        high = "CASE measure " + " ".join(f"WHEN '{m}' THEN q3 + {reach} * (q3 - q1) + {a}" for m, (_, a) in MEASURES.items()) + " END"
+        parts.append(f"n{k} AS (SELECT {keys}measure, bucket, SUM(n)::HUGEINT AS n FROM sk GROUP BY ALL)")
+        parts.append(f"a{k} AS (SELECT {keys}measure, SUM(n)::HUGEINT AS total FROM n{k} GROUP BY ALL)")
+    for k, by in enumerate(levels):
+        keys = "".join(f"{c}, " for c in by)
+        if k < 2:
+            same = "".join(f" AND g.{c} IS NOT DISTINCT FROM w.{c}" for c in levels[k + 1])
+            own = "".join(f"g.{c}, " for c in by)
+            parts.append(
+                f"x{k} AS (SELECT {keys}measure, bucket, SUM(n) AS n FROM (SELECT {own}g.measure, bucket, n * w.total AS n FROM n{k} g JOIN a{k + 1} w ON w.measure = g.measure{same} "
+                f"UNION ALL SELECT {own}g.measure, w.bucket, {PRIOR} * w.n FROM a{k} g JOIN n{k + 1} w ON w.measure = g.measure{same}) GROUP BY ALL)"
+            )
+        else:
+            parts.append(f"x{k} AS (SELECT * FROM n{k})")
         part = f"PARTITION BY {keys}measure"
-        levels.append(f"m{k} AS (SELECT {keys}measure, bucket, SUM(n) AS n FROM sk GROUP BY {keys}measure, bucket)")
-        levels.append(f"r{k} AS (SELECT *, SUM(n) OVER ({part} ORDER BY bucket) AS upto, SUM(n) OVER ({part}) AS total FROM m{k})")
-        at = lambda q: f"MIN(CASE WHEN upto >= {q} * total THEN bucket END)"
-        value = lambda q: f"CASE WHEN {at(q)} <= -400 THEN 0.0 ELSE exp(({at(q)} + 0.5) * ln({STEP})) END"
-        levels.append(f"q{k} AS (SELECT {keys}measure, {value(0.25)} AS q1, {value(0.75)} AS q3, MAX(total) AS n FROM r{k} GROUP BY {keys}measure)")
-        levels.append(f"f{k} AS (SELECT {keys}measure, n, {low} AS low, {high} AS high FROM q{k})")
-    for m, (below, _) in MEASURES.items():
-        joins = " ".join(f"LEFT JOIN f{k} ON f{k}.measure = '{m}'" + "".join(f" AND f{k}.{c} IS NOT DISTINCT FROM j.{c}" for c in by) for k, by in enumerate((["lang", "source"], ["lang"], [])))
-        pick = lambda side: f"CASE WHEN f0.n >= {least} THEN f0.{side} WHEN f1.n >= {least} THEN f1.{side} ELSE f2.{side} END"
-        test = f"j.{m} <= {pick('high')}" + (f" AND j.{m} >= {pick('low')}" if below is not None else "")
-        picks.append(f"ok_{m} AS (SELECT j.doc_id, {test} AS ok FROM j {joins})")
-    every = ",\n".join([*levels, *picks])
-    ok = " AND ".join(f"COALESCE(ok_{m}.ok, FALSE)" for m in MEASURES)
-    joined = " ".join(f"JOIN ok_{m} ON ok_{m}.doc_id = j.doc_id" for m in MEASURES)
-    unions = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, CASE WHEN {m} < 0.001 THEN -400 ELSE floor(ln(greatest({m}, 0.001)) / ln({STEP})) END::INT AS bucket FROM j WHERE NOT base_failed" for m in MEASURES)
-    return OP6_HEAD + f"sk AS (SELECT lang, source, measure, bucket, COUNT(*) AS n FROM ({unions}) GROUP BY ALL),\n{every}\nSELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {ok} AS kept FROM j {joined}"
+        parts.append(f"r{k} AS (SELECT *, SUM(n) OVER ({part} ORDER BY bucket) AS upto, SUM(n) OVER ({part}) AS total FROM x{k})")
+        parts.append(f"q{k} AS (SELECT {keys}measure, MIN(CASE WHEN upto * 4 >= total THEN bucket END) AS q1, MIN(CASE WHEN upto * 4 >= total * 3 THEN bucket END) AS q3 FROM r{k} GROUP BY ALL)")
+    for name, m in MEASURES.items():
+        joins = " ".join(f"LEFT JOIN q{k} ON q{k}.measure = '{name}'" + "".join(f" AND q{k}.{c} IS NOT DISTINCT FROM j.{c}" for c in by) for k, by in enumerate(levels))
+        high = [f"q{k}.q3 + {m.above} * greatest(q{k}.q3 - q{k}.q1, {m.least})" for k in range(3)]
+        test = f"j.{name} <= {high[0]} AND j.{name} >= q0.q1 - {m.below} * greatest(q0.q3 - q0.q1, {m.least})" if m.below is not None else f"j.{name} <= least({', '.join(high)})"
+        picks.append(f"ok_{name} AS (SELECT j.doc_id, {test} AS ok FROM j {joins})")
+    buckets = ", ".join(f"CASE WHEN NOT base_failed THEN floor(ln(greatest({m.top}::DOUBLE / {m.bottom}, {m.floor})) / ln({STEP}))::INT END AS {name}" for name, m in MEASURES.items())
+    unions = " UNION ALL ".join(f"SELECT lang, source, '{name}' AS measure, {name} AS bucket FROM j WHERE NOT base_failed" for name in MEASURES)
+    ok = " AND ".join(f"COALESCE(ok_{name}.ok, FALSE)" for name in MEASURES)
+    joined = " ".join(f"JOIN ok_{name} ON ok_{name}.doc_id = j.doc_id" for name in MEASURES)
+    every = ",\n".join([f"j AS (SELECT *, {buckets} FROM c)", f"sk AS (SELECT lang, source, measure, bucket, COUNT(*) AS n FROM ({unions}) GROUP BY ALL)", *parts, *picks])
+    return OP6_HEAD + every + f"\nSELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_marks, base_failed, NOT base_failed AND {ok} AS kept FROM j {joined}"
 
 
 OP6_HEAD = r"""
@@ -175,10 +192,8 @@ g AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS g FROM
 twice AS (SELECT doc_id, g FROM g GROUP BY doc_id, g HAVING COUNT(*) > 1),
 rep AS (SELECT doc_id, COUNT(DISTINCT p) AS n FROM (SELECT g.doc_id, unnest(range(i, i + 8)) AS p FROM g JOIN twice USING (doc_id, g)) GROUP BY doc_id),
 b AS (SELECT w.doc_id, lang, source, len(w)::BIGINT AS n_words, COALESCE(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(COALESCE(text, ''), '[#*$%&|<>]'))::BIGINT AS n_symbols,
-      (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, COALESCE(rep.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
+      (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, COALESCE(rep.n, 0)::BIGINT AS n_repeat_words, len(regexp_extract_all(COALESCE(text, ''), '[!-/:-@\[-`{-~]'))::BIGINT AS n_marks FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
 c AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b),
-j AS (SELECT *, CASE WHEN NOT base_failed THEN n_symbols::DOUBLE / word_chars END AS symbols, CASE WHEN NOT base_failed THEN word_chars::DOUBLE / n_words END AS word_length,
-      CASE WHEN NOT base_failed THEN n_dup_lines::DOUBLE / n_lines END AS repeated_lines FROM c),
 """
 OP9_HEAD = r"""
 WITH u AS (SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
