@@ -23,7 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         new = materialise(small.where("u <> v").distinct())
         changed = new.exceptAll(now).limit(1).count() + now.exceptAll(new).limit(1).count()
-        discard(spark, large)
+        discard(spark, large, now)
         now = new
         if not changed:
             break

@@ -12,14 +12,16 @@ their whole sets. Then within blocks of candidates of one query: DivideSkip over
 inverted lists finds those that reach T. The global order is by counts of 2**20 shingle buckets over all
 documents; any order would be right, rare ones first makes lists short.
 
-Equal sets are one class, whose least id stands for it. So that n near copies don't cost n**2 pairs, some
-rounds first compare a few hubs of every list with its other documents, and the links found are joined to
-components. Then all pairs that share a list and aren't in one component yet are found; those that occur
-together in enough short lists are compared. A pair within one component needs no comparison: its link changes nothing.
+Equal sets are one class, numbered when the classes are written. So that n near copies don't cost n**2 pairs,
+some rounds first compare a few hubs of every list with its other documents, each with the hub it shares most
+with, and the links found are joined to components. Then all pairs that share a list and aren't in one component
+yet are found; those that occur together in enough short lists are compared. A pair within one component needs
+no comparison: its link changes nothing.
 
 Words are maximal runs of ``[^\\x20\\x09-\\x0D]`` after A-Z are lower-cased. A text of fewer than k words is one
-shingle; null and empty texts and those without words have an empty set and link with nothing. Null ids
-are left out of links and are their own component. An empty table gives an empty result.
+shingle; null and empty texts and those without words have an empty set and link with nothing. Ids may be of any
+type that sorts, null or repeated, with the same text or another: links are between texts. A row's component is
+named by the least id in it, null if none has an id. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,18 +34,19 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from .bytesvec import U, shingle_sets
 from .graph import components
-from .store import materialise
+from .store import discard, materialise
 
 ORDER_BITS = 20
 ORDER_PARTS = 64
 FILTER_BITS = 24
 BLOCK = 256
-HUBS = (1, 4)
+TURNS = (0, 4)
 MU = 0.0085
 
 
@@ -91,47 +94,56 @@ def least_overlap(a: Column, b: Column, percent: int) -> Column:
 
 
 def short_lists(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(id, n, key, lists): size and digest of each document's set and its rarest shingles, one more than may be missing."""
+    """(id, ref, n, key, lists): size and digest of each document's set and its rarest shingles, one more than may be missing."""
     order = docs.sparkSession.sparkContext.broadcast(counts)  # 2**ORDER_BITS numbers of 4 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = order.value
         for batch in batches:
             sizes, keys, lists = [], [], []
-            for _, own in shingle_sets(batch.column(1), k):
+            for _, own in shingle_sets(batch.column(2), k):
                 n = len(own)
                 sizes.append(n)
                 keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 first = np.argsort(rank[bucket_of(own)], kind="stable")[: n + (-percent * n) // 100 + 1]
                 lists.append(own[first].view(np.int64) if n else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], names=["id", "n", "key", "lists"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], names=["id", "ref", "n", "key", "lists"]
+            )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, key binary, lists array<long>")
+    new = [StructField("n", LongType()), StructField("key", BinaryType()), StructField("lists", ArrayType(LongType()))]
+    return docs.select("id", "ref", "text").mapInArrow(run, StructType([docs.schema["id"], docs.schema["ref"], *new]))
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bitmap of 2**FILTER_BITS bits with those of the hashed ids set: 2 MB whatever their number."""
-    at = ids.select(F.shiftrightunsigned(F.xxhash64("id"), 64 - FILTER_BITS).alias("at"))
+def place(ref: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(ref), 64 - FILTER_BITS)
+
+
+def ref_filter(refs: DataFrame) -> np.ndarray:
+    """A bitmap of 2**FILTER_BITS bits with those of the hashed refs set: 2 MB whatever their number."""
+    at = refs.select(place(F.col("ref")).alias("at"))
     words = at.select(F.shiftright("at", 5).alias("w"), F.expr("shiftleft(1L, cast(at & 31 as int))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
     out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
     out[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64).astype(np.uint32)
     return out
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(id, shingles): the sets of the documents whose ids are in the bitmap of ``ids``, as sorted 64-bit numbers."""
-    bits = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
+def whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(sid, shingles): the sets of the classes ``wanted`` (cid), as sorted 64-bit numbers. A class's text is read where its ref's bit is set; what else has such a bit is no class of these and goes."""
+    chosen = classes.join(wanted.distinct(), "cid", "left_semi").select("key", "cid", "ref")
+    bits = docs.sparkSession.sparkContext.broadcast(ref_filter(chosen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(2).to_numpy()
+            at = batch.column(1).to_numpy()
             keep = (bits.value[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)
             part = batch.filter(pa.array(keep.astype(bool)))
             for lo in range(0, part.num_rows, BLOCK):
-                some = part.slice(lo, BLOCK)
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([own.tobytes() for _, own in shingle_sets(some.column(1), k)], pa.binary())], names=["id", "shingles"])
+                sets = [own.tobytes() for _, own in shingle_sets(part.column(0).slice(lo, BLOCK), k)]
+                yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in sets], pa.binary()), pa.array(sets, pa.binary())], names=["key", "shingles"])
 
-    return docs.select("id", "text", F.shiftrightunsigned(F.xxhash64("id"), 64 - FILTER_BITS).alias("at")).mapInArrow(run, "id long, shingles binary")
+    sets = docs.select("text", place(F.col("ref")).alias("at")).mapInArrow(run, "key binary, shingles binary")
+    return sets.join(chosen.select("key", "cid"), "key").groupBy(F.col("cid").alias("sid")).agg(F.first("shingles").alias("shingles"))
 
 
 def divide_skip(query: np.ndarray, members: list[np.ndarray], percent: int) -> list[int]:
@@ -180,11 +192,11 @@ def divide_skip(query: np.ndarray, members: list[np.ndarray], percent: int) -> l
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold."""
-    blocks = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(64)).cast("int"))
-    named = sets.withColumnRenamed("id", "sid")
-    members = blocks.join(named, F.col("b") == F.col("sid")).select("a", "block", F.lit(1).alias("kind"), "b", "shingles")
-    queries = blocks.select("a", "block").distinct().join(named, F.col("a") == F.col("sid")).select("a", "block", F.lit(0).alias("kind"), F.col("a").alias("b"), "shingles")
+    """The pairs (a, b) whose whole sets reach the threshold. A query a and up to about BLOCK of its b meet in a block, to which a's set goes once."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).withColumnRenamed("a", "qa")
+    blocks = pairs.join(many, F.col("a") == F.col("qa")).withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    members = blocks.join(sets, F.col("b") == F.col("sid")).select("a", "block", F.lit(1).alias("kind"), "b", "shingles")
+    queries = blocks.select("a", "block").distinct().join(sets, F.col("a") == F.col("sid")).select("a", "block", F.lit(0).alias("kind"), F.col("a").alias("b"), "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, query, ids, held, out = None, None, [], [], []
@@ -229,57 +241,111 @@ def least_shared(percent: int) -> Column:
     return F.greatest(F.lit(1), least_overlap(F.col("na"), F.col("nb"), percent) - F.ceil(F.greatest("na", "nb") * percent / 100.0 - 1e-9) + 1)
 
 
-def mixed_lists(postings: DataFrame, joined: DataFrame | None) -> DataFrame:
-    """Postings of lists with documents of two components or more, with c, the component."""
-    placed = postings.withColumn("c", F.col("id")) if joined is None else postings.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-    span = Window.partitionBy("token")
-    return placed.withColumn("lo", F.min("c").over(span)).withColumn("hi", F.max("c").over(span)).where("lo <> hi").drop("lo", "hi")
+def hubs_of(turn: int) -> list[Column]:
+    """The hubs of a list as largest structs: in the first turn the document with the longest lists, which stands in the middle of a family; then some drawn by their number, alike in all lists."""
+    own = ("cid", "n", "c")
+    seeds = range(1, TURNS[turn] + 1)
+    return [F.max(F.struct(F.xxhash64("cid", F.lit(j)).alias("by"), *own)) for j in seeds] or [F.max(F.struct(F.col("score").alias("by"), *own))]
+
+
+def placed(postings: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """Postings with c, the component of their document."""
+    if joined is None:
+        return postings.withColumn("c", F.col("cid"))
+    return postings.join(joined.withColumnRenamed("id", "cid"), "cid", "left").withColumn("c", F.coalesce("component", "cid")).drop("component")
 
 
-def star_pairs(mixed: DataFrame, held: DataFrame, turn: int, hubs: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of a list's hubs and its other documents. In the first turn the hub is the document with the longest lists, which stands in the middle of a family; then hubs are drawn."""
-    ranked = mixed.join(held.select("id", "score"), "id")
-    first = F.col("score").desc() if turn == 0 else F.xxhash64("id", F.lit(turn))
-    at = F.row_number().over(Window.partitionBy("token").orderBy(first, "id"))
-    top = ranked.withColumn("at", at).where(F.col("at") <= hubs).select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    others = mixed.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    pairs = top.join(others, "token").where((F.col("ca") != F.col("cb")) & sizes_fit(percent))
+def several(postings: DataFrame, *more: Column) -> DataFrame:
+    """Lists with documents of two components or more, from sums that start on the map side."""
+    return postings.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), *more).where("lo <> hi").drop("lo", "hi")
+
+
+def star_pairs(postings: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b): each document b and the hub a of another component that it shares most short lists with."""
+    tops = [h.alias(f"h{i}") for i, h in enumerate(hubs_of(turn))]
+    lists = several(postings, *tops).select("token", F.explode(F.array_distinct(F.array(*(F.col(f"h{i}") for i in range(len(tops)))))).alias("h"))
+    lists = lists.select("token", F.col("h.cid").alias("a"), F.col("h.n").alias("na"), F.col("h.c").alias("ca"))
+    others = postings.select("token", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
+    pairs = others.join(lists, "token").where((F.col("ca") != F.col("cb")) & sizes_fit(percent))
     pairs = pairs.groupBy("a", "na", "b", "nb").agg(F.count("*").alias("shared")).where(F.col("shared") >= least_shared(percent))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select("best.a", "b")
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: id, n_shingles and component_id, the least id that links of ``percent`` or more reach."""
-    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+def text_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, ref, n, key) of all rows; (key, cid, root) of all classes of equal sets, root being a number of the component; and the rows again with their texts."""
+    spark = docs.sparkSession
+    named = docs.withColumn("ref", F.xxhash64(F.col("id").cast("string"), "text"))
     lists = materialise(short_lists(named, k, percent, shingle_counts(named, k)))
-    classes = materialise(lists.where("n > 0 and id is not null").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
-    heads = lists.where("n > 0").join(classes.select("id", F.col("key").alias("k2")), "id").where("key = k2").dropDuplicates(["id"])
-    # Rows (token, id) of the short lists that hold two documents at least, with the token's place in the document's order.
-    postings = heads.select("id", "n", F.posexplode("lists").alias("at", "token")).select("token", "id", "n", "at")
-    postings = materialise(postings.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1"))
-    held = materialise(postings.groupBy("id").agg(F.collect_list("token").alias("tokens"), F.sum("df").alias("score")))
-    links = joined = None
-    for turn, hubs in enumerate(HUBS):
-        found = materialise(star_pairs(mixed_lists(postings, joined), held, turn, hubs, percent))
-        new = materialise(verified(found, whole_sets(named, found.select(F.explode(F.array("a", "b")).alias("id")), k), percent))
-        links = new if links is None else links.unionByName(new)
-        joined = materialise(components(links))
+    rows = materialise(lists.select("id", "ref", "n", "key"))
+    heads = lists.where("n > 0").groupBy("key").agg(F.min("ref").alias("ref"), F.first("n").alias("n"), F.first("lists").alias("lists"))
+    heads = materialise(heads.withColumn("cid", F.monotonically_increasing_id()))
+    discard(spark, lists)
+    classes = materialise(heads.select("key", "ref", "cid"))
+    # Rows (token, cid, n, at) of the short lists that hold two documents at least, with the token's place in the document's order.
+    postings = heads.select("cid", "n", F.posexplode("lists").alias("at", "token"))
+    found = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    postings = materialise(postings.join(found, "token"))
+    discard(spark, heads)
+    held = materialise(postings.groupBy("cid").agg(F.collect_list("token").alias("tokens"), F.sum("df").alias("score")))
+    scored = materialise(postings.join(held.select("cid", "score"), "cid"))
+    discard(spark, postings)
+    postings, joined, links = scored, None, None
+
+    def join_up(pairs: DataFrame) -> None:
+        nonlocal joined, links
+        pairs = materialise(pairs)
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid"))
+        new = materialise(verified(pairs, whole_sets(named, classes, wanted, k), percent))
+        edges = new if joined is None else new.unionByName(joined.toDF("a", "b"))
+        before, joined = joined, materialise(components(edges))
+        discard(spark, pairs, new, *([] if before is None else [before]))
+
+    for turn in range(len(TURNS)):
+        join_up(star_pairs(placed(postings, joined), turn, percent))
 
     # What is left: pairs in lists of two components or more that aren't in one component yet.
-    mixed = mixed_lists(postings, joined)
+    now = placed(postings, joined)
+    mixed = materialise(now.join(several(now), "token", "left_semi"))
     # They share one of the first n - T(a, b) + 1 places of either.
-    left = mixed.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("at").alias("pa"))
-    right = mixed.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("at").alias("pb"))
+    left = mixed.select("token", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("at").alias("pa"))
+    right = mixed.select("token", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("at").alias("pb"))
     needed = least_overlap(F.col("na"), F.col("nb"), percent)
     early = (F.col("pa") <= F.col("na") - needed) & (F.col("pb") <= F.col("nb") - needed)
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     rest = left.join(right, "token").where(smaller & early & (F.col("ca") != F.col("cb")) & sizes_fit(percent)).select("a", "na", "b", "nb").distinct()
-    rest = rest.join(held.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a").join(held.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
-    rest = materialise(rest.where(F.size(F.array_intersect("ta", "tb")) >= least_shared(percent)).select("a", "b"))
-    more = verified(rest, whole_sets(named, rest.select(F.explode(F.array("a", "b")).alias("id")), k), percent)
-    final = materialise(components(links.unionByName(more)))
-
-    out = lists.select("id", "n", "key").join(classes.select("key", F.col("id").alias("head")), "key", "left")
-    out = out.join(final.withColumnRenamed("id", "head"), "head", "left")
-    whole = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component", "head")).otherwise(F.col("id"))
-    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), whole.alias("component_id"))
+    rest = rest.join(held.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a").join(held.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b")
+    join_up(rest.where(F.size(F.array_intersect("ta", "tb")) >= least_shared(percent)).select("a", "b"))
+    discard(spark, mixed, postings, held)
+
+    roots = classes.join(joined.withColumnRenamed("id", "cid"), "cid", "left").select("key", "cid", F.coalesce("component", "cid").alias("root"))
+    return rows, roots, named
+
+
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: id, n_shingles and component_id, the least id that links of ``percent`` or more reach."""
+    rows, roots, _ = text_classes(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, percent)
+    # Least ids by class first, so a group of many copies is summed before it is shuffled.
+    least = rows.where("n > 0").groupBy("key").agg(F.min("id").alias("m")).join(roots, "key")
+    named = least.groupBy("root").agg(F.min("m").alias("component_id"))
+    named = materialise(least.join(named, "root").select("key", "component_id"))
+    out = rows.join(named, "key", "left")
+    whole = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), whole.alias("component_id"))
+
+
+def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group of linked texts the one with the least id, rows with ids before those without. Rows without words all stay."""
+    rows, roots, _ = text_classes(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, percent)
+    one = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("ref"))
+    best = rows.where("n > 0").groupBy("key").agg(F.min(one).alias("one")).join(roots, "key")
+    best = materialise(best.join(best.groupBy("root").agg(F.min("one").alias("first")), "root").select("key", "first"))
+    judged = rows.where("n > 0").join(best, "key")
+    stays = F.col("ref") == F.col("first.ref")
+    gone = materialise(judged.where(~stays).select(F.col("id").alias("_gone_id"), F.col("ref").alias("_gone_ref")).distinct())
+    again = materialise(judged.where(stays).groupBy("id", "ref").agg(F.count("*").alias("copies")).where("copies > 1").select(F.col("id").alias("_gone_id"), F.col("ref").alias("_gone_ref")))
+    ref = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    same = F.col(id_col).eqNullSafe(F.col("_gone_id")) & (F.col("_own_ref") == F.col("_gone_ref"))
+    kept = docs.withColumn("_own_ref", ref).join(gone, same, "left_anti")
+    # Of equal rows that stay, one.
+    once = kept.join(again, same, "left_semi").dropDuplicates([id_col, "_own_ref"])
+    return kept.join(again, same, "left_anti").unionByName(once).select(*docs.columns)

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary folder only for a local master without one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -30,7 +33,12 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sievework/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")  # shuffle files are of no use once the table is written
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
