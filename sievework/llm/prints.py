@@ -1,11 +1,11 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame operations only.
 
 A document is a bag of words weighted by their counts. For each of SAMPLES samples every term draws r and
-c from Gamma(2, 1) and b from Uniform(0, 1), all three from a hash of term and sample. With weight S,
+c from Gamma(2, 1), each as -ln(u v) of two 32-bit uniforms, and b from Uniform(0, 1), all from hashes of term and sample. With weight S,
 t = floor(ln S / r + b) and ln a = ln c - r (t - b + 1); the term of least a is the sample. a depends on
 nothing but sample, term and t, so its bits stand for the pair (term, t). Two documents agree in a sample
 with the probability of their generalised Jaccard similarity: sum of least counts by sum of greatest.
-Gamma variates are read from a table of 1,024 quantiles, which keeps the work in generated code.
+The variates are exact in both tails, which decide the least of many terms.
 
 Counts of words are made within the row, by sorting the hashes of a text's words; so no row of a word is
 ever shuffled, and the minima of a document are taken where its text lies.
@@ -20,28 +20,26 @@ from __future__ import annotations
 import hashlib
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import materialise
 
 SAMPLES = 64
-TABLE_BITS = 10
 GROUP = 8
 WORD = r"[^\x20\x09-\x0D]+"
 NO_WORD = 0x5EED
 
 
-def gamma_quantiles() -> np.ndarray:
-    """Gamma(2, 1) at the middles of 2**TABLE_BITS equal shares, by bisection of 1 - (1 + x) exp(-x)."""
-    p = (np.arange(1 << TABLE_BITS) + 0.5) / (1 << TABLE_BITS)
-    lo, hi = np.zeros_like(p), np.full_like(p, 60.0)
-    for _ in range(80):
-        mid = (lo + hi) / 2
-        below = 1 - (1 + mid) * np.exp(-mid) < p
-        lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
-    return (lo + hi) / 2
+def uniform(h: Column, high: bool) -> Column:
+    """A number in (0, 1) from the high or the low 32 bits of a hash."""
+    bits = F.shiftrightunsigned(h, 32) if high else h.bitwiseAND(F.lit(0xFFFFFFFF))
+    return (bits.cast("double") + 0.5) * math.ldexp(1.0, -32)
+
+
+def gamma(h: Column) -> Column:
+    """Gamma(2, 1): the sum of two exponential variates."""
+    return -F.log(uniform(h, True) * uniform(h, False))
 
 
 def sample_keys(samples: int) -> list[int]:
@@ -59,18 +57,15 @@ def bag_fingerprints(docs: DataFrame, text: Column, keys: list[str], samples: in
     none = F.array(F.struct(F.lit(NO_WORD).cast("long").alias("_term"), F.lit(1).alias("_count")))
     rows = rows.select(*keys, F.inline(F.when(F.size("_s") > 0, terms).otherwise(none)))
     rows = rows.select(*keys, "_term", F.when(F.col("_count") == 1, 0.0).otherwise(F.log("_count")).alias("_w"))
-    # Each row serves GROUP samples at a time: their copies of the tables stay in the processor's cache.
+    # Each row serves GROUP samples at a time, which keeps an expression below the size that is compiled.
     salts = sample_keys(samples // GROUP + GROUP)
     rows = rows.select("*", F.posexplode(F.array(*map(F.lit, salts[GROUP:]))).alias("_group", "_salt"))
-    table = gamma_quantiles()
-    gamma, log_gamma = F.lit(table), F.lit(np.log(table))
-    mask = (1 << TABLE_BITS) - 1
     parts = []
     for j in range(GROUP):
         h = F.xxhash64(F.col("_term").bitwiseXOR(F.lit(salts[j])).bitwiseXOR(F.col("_salt")))
-        r = F.get(gamma, F.shiftright(h, TABLE_BITS).bitwiseAND(F.lit(mask)).cast("int"))
-        log_c = F.get(log_gamma, h.bitwiseAND(F.lit(mask)).cast("int"))
-        b = F.shiftrightunsigned(h, 2 * TABLE_BITS).cast("double") * math.ldexp(1.0, 2 * TABLE_BITS - 64)
+        again = F.xxhash64(h)
+        r, log_c = gamma(h), F.log(gamma(again))
+        b = F.shiftrightunsigned(F.xxhash64(again), 11).cast("double") * math.ldexp(1.0, -53)
         least = F.min(log_c - r * (F.floor(F.col("_w") / r + b) - b + 1))
         parts.append(F.lpad(F.hex(F.xxhash64(least).bitwiseAND(F.lit(0xFFFF))), 4, "0"))
     rows = rows.groupBy(*keys, "_group").agg(F.lower(F.concat(*parts)).alias("_part"))
