@@ -17,6 +17,8 @@ Null texts stay null, empty ones empty. Whole texts are read. There is no shuffl
 
 from __future__ import annotations
 
+import calendar
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -193,22 +195,37 @@ def ipv4(m: Column, key: str) -> Column:
     return let(F.split(m, r"\."), valid)
 
 
-# Hundred years from their first day: number of days as a product. 1900 and 2100 have no leap day.
-ERAS = (("1820-01-01", 92, 397), ("1920-01-01", 75, 487), ("2020-01-01", 92, 397))
+# Hundred years from their first: number of days and of leap years as products. 1900 and 2100 have no leap day.
+ERAS = ((1820, 92, 397, 4, 6), (1920, 75, 487, 5, 5), (2020, 92, 397, 4, 6))
+# Days after the 12th of a year without leap day, as MM-dd.
+LATE = [f"{month:02}-{day:02}" for month in range(1, 13) for day in range(13, calendar.monthrange(2001, month)[1] + 1)]
 
 
-def permute_day(day: Column, key: str) -> Column:
-    """A date of 1820 to 2119 to another of the same hundred years; others stay."""
+def permute_day(day: Column, late: Column, key: str) -> Column:
+    """A date of 1820 to 2119 to another of the same hundred years; others stay. With ``late`` the day is after the 12th and stays so: leap days among themselves, the others as year and place in LATE."""
+    year, leap = F.year(day), late & (F.date_format(day, "MM-dd") == "02-29")
     era = F.lit(None)
-    for first, a, b in reversed(ERAS):
-        here = F.struct(F.to_date(F.lit(first)).alias("start"), F.lit(a).alias("a"), F.lit(b).alias("b"))
-        n = F.datediff(day, F.to_date(F.lit(first)))
-        era = F.when((n >= 0) & (n < a * b), here).otherwise(era)
+    for first, a, b, c, d in reversed(ERAS):
+        start = F.to_date(F.lit(f"{first}-01-01"))
+        here = F.struct(
+            F.lit(first).alias("first"), start.alias("start"), F.array(*(F.lit(y) for y in range(first, first + 100) if calendar.isleap(y))).alias("leaps"),
+            F.when(leap, c).when(late, 100).otherwise(a).alias("a"), F.when(leap, d).when(late, len(LATE)).otherwise(b).alias("b"),
+        )
+        era = F.when((year >= first) & (year < first + 100), here).otherwise(era)
+    places = F.split(F.lit(" ".join(LATE)), " ")
 
     def within(e: Column) -> Column:
-        n = F.datediff(day, e["start"])
-        new = feistel(F.floor(n / e["b"]), n % e["b"], e["a"], e["b"], F.concat(F.lit("date"), e["start"].cast("string")), key)
-        return F.when(e.isNull(), day).otherwise(F.date_add(e["start"], let(new, lambda s: (s["l"] * e["b"] + s["r"]).cast("int"))))
+        at = F.array_position(places, F.date_format(day, "MM-dd")) - 1
+        n = F.when(leap, F.array_position(e["leaps"], year) - 1).when(late, (year - e["first"]) * len(LATE) + at).otherwise(F.datediff(day, e["start"])).cast("long")
+        tweak = F.concat_ws("/", F.when(leap, "leap").when(late, "late").otherwise("date"), e["first"])
+        new = let(feistel(F.floor(n / e["b"]), n % e["b"], e["a"], e["b"], tweak, key), lambda s: s["l"] * e["b"] + s["r"])
+
+        def read(k: Column) -> Column:
+            word = F.when(leap, F.concat(F.get(e["leaps"], k.cast("int")).cast("string"), F.lit("-02-29")))
+            word = word.when(late, F.concat((e["first"] + F.floor(k / len(LATE))).cast("string"), F.lit("-"), F.get(places, (k % len(LATE)).cast("int"))))
+            return F.coalesce(F.to_date(word), F.date_add(e["start"], k.cast("int")))
+
+        return F.when(e.isNull(), day).otherwise(let(new, read))
 
     return let(era, within)
 
@@ -220,13 +237,13 @@ def read_day(m: Column, when: Column, form: str) -> Column:
 
 
 def date(m: Column, key: str) -> Column:
-    """Days come first with dots; with slashes months do, unless only the other reading is a date."""
+    """Days come first with dots; with slashes months do, unless only the other reading is a date. Those dates are permuted among themselves, so no two dates get one pseudonym."""
     sep = F.substr(m, F.lit(3), F.lit(1))
     forms = (("yyyy-MM-dd", m.rlike("^[0-9]{4}-")), ("dd.MM.yyyy", sep == "."), ("MM/dd/yyyy", sep == "/"), ("dd/MM/yyyy", sep == "/"))
     found = F.coalesce(*(read_day(m, when, form) for form, when in forms))
 
     def written(x: Column) -> Column:
-        new = permute_day(x["day"], key)
+        new = permute_day(x["day"], x["form"] == "dd/MM/yyyy", key)
         out = F.lit(None).cast("string")
         return F.when(x.isNull(), m).otherwise(let(new, lambda d: F.coalesce(*(F.when(x["form"] == form, F.date_format(d, form)) for form, _ in forms), out)))
 
@@ -269,13 +286,15 @@ def pseudonym(m: Column, key: str) -> Column:
 
 
 def pseudonymise(docs: DataFrame, *, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """``docs`` with pseudonyms in ``text_col`` and, if named, the number of replaced values in ``count_col``."""
-    text = F.col(text_col)
+    """``docs`` with pseudonyms in ``text_col`` and, if named, the number of replaced values in ``count_col``. Other columns may have any names."""
+    names = docs.columns
+    named = docs.toDF(*(f"_c{i}" for i in range(len(names))))
+    at = names.index(text_col)
+    text = F.col(f"_c{at}")
     found = F.when(F.col("_any").isNotNull(), F.regexp_extract_all(text, F.col("_any"), F.lit(0)))
-    out = docs.withColumn("_any", F.when(text.rlike("[0-9@]"), pattern_for(text))).withColumn("_found", found).withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key))))
+    out = named.withColumn("_any", F.when(text.rlike("[0-9@]"), pattern_for(text))).withColumn("_found", found).withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key))))
     parts = F.split(text, F.col("_any"), -1)
     spliced = let(parts, lambda p: F.array_join(F.transform(p, lambda x, i: F.concat(x, F.coalesce(F.get(F.col("_new"), i), F.lit("")))), ""))
     changed = F.coalesce(F.size(F.filter(F.arrays_zip("_found", "_new"), lambda z: z["_found"] != z["_new"])), F.lit(0))
-    if count_col:
-        out = out.withColumn(count_col, F.when(F.col("_new").isNull(), 0).otherwise(changed))
-    return out.withColumn(text_col, F.when(F.col("_new").isNull(), text).otherwise(spliced)).drop("_any", "_found", "_new")
+    kept = [F.when(F.col("_new").isNull(), text).otherwise(spliced).alias(c) if i == at else F.col(f"_c{i}").alias(c) for i, c in enumerate(names) if c != count_col or i == at]
+    return out.select(*kept, *([F.when(F.col("_new").isNull(), 0).otherwise(changed).alias(count_col)] if count_col else []))
