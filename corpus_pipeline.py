@@ -11,25 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.llm.bpe import bpe_documents
-from sievework.llm.jaccard import jaccard_components
-from sievework.llm.mixing import pareto_mix
+from sievework.llm.jaccard import distinct_documents
+from sievework.llm.mixing import mixed_documents
 from sievework.llm.pii import pseudonymise
 from sievework.llm.queries import PII_KEY
-from sievework.llm.rules import adaptive_rules
-from sievework.llm.store import materialise
+from sievework.llm.rules import kept_documents
+from sievework.llm.store import discard, materialise
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the fixed and adaptive rules keep. Rows are judged by id; of rows with one id the worst verdict counts."""
-    bad = adaptive_rules(docs).where("not kept").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    """Documents that the fixed and adaptive rules keep, each row by its own text."""
+    return kept_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by 5-word shingles and a similarity of 0.8 the document of least id stays; rows of equal ids are one."""
-    groups = jaccard_components(docs, k=5, percent=80)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    """Of each group linked by 5-word shingles and a similarity of 0.8 the document of least id stays, one row of it; rows without ids come last."""
+    return distinct_documents(docs, k=5, percent=80)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +36,7 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it; sources weigh 5, 2, 1 and so on, and share all words. A document without words stays once."""
-    taken = materialise(pareto_mix(docs).select(F.col("doc_id").alias("mix_id"), F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int").alias("copies")).where("copies > 0").dropDuplicates(["mix_id"]))
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("mix_id"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return mixed_documents(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +53,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, materialise(stage(spark, docs, sf_dir))
+        if k:
+            discard(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)
