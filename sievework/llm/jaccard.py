@@ -15,8 +15,8 @@ documents; any order would be right, rare ones first makes lists short.
 Equal sets are one class, numbered when the classes are written. So that n near copies don't cost n**2 pairs,
 some rounds first compare a few hubs of every list with its other documents, each with the hub it shares most
 with, and the links found are joined to components. Then all pairs that share a list and aren't in one component
-yet are found; those that occur together in enough short lists are compared. A pair within one component needs
-no comparison: its link changes nothing.
+yet are found. Before whole sets are sent, bits of each class give an upper bound of a pair's overlap, at a thirtieth of
+the bytes. A pair within one component needs no comparison: its link changes nothing.
 
 Words are maximal runs of ``[^\\x20\\x09-\\x0D]`` after A-Z are lower-cased. A text of fewer than k words is one
 shingle; null and empty texts and those without words have an empty set and link with nothing. Ids may be of any
@@ -30,13 +30,15 @@ import hashlib
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 from math import log2
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
 from .bytesvec import U, shingle_sets
 from .graph import components
@@ -93,28 +95,50 @@ def least_overlap(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / F.lit(100.0 + percent) - 1e-9)
 
 
+def parity(own: np.ndarray) -> bytes:
+    """Which of 2 to 4 bits per shingle (a power of 2, 64 at least) an odd number of shingles falls on. Halves laid over each other by XOR are the bits of half the size."""
+    size = max(64, 1 << (2 * len(own) - 1).bit_length()) if len(own) else 64
+    return np.packbits(np.bincount((own & U(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
+
+
+def least_apart(a: bytes, b: bytes) -> int:
+    """A lower bound of how many shingles are in just one of two sets, from their parity bits."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def short_lists(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(id, ref, n, key, lists): size and digest of each document's set and its rarest shingles, one more than may be missing."""
+    """(id, ref, n, key, lists, bits): size and digest of each document's set, its rarest shingles, one more than may be missing, and its parity bits."""
     order = docs.sparkSession.sparkContext.broadcast(counts)  # 2**ORDER_BITS numbers of 4 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = order.value
         for batch in batches:
-            sizes, keys, lists = [], [], []
+            sizes, keys, lists, sketches = [], [], [], []
             for _, own in shingle_sets(batch.column(2), k):
                 n = len(own)
                 sizes.append(n)
                 keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 first = np.argsort(rank[bucket_of(own)], kind="stable")[: n + (-percent * n) // 100 + 1]
                 lists.append(own[first].view(np.int64) if n else [])
+                sketches.append(parity(own))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], names=["id", "ref", "n", "key", "lists"]
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                names=["id", "ref", "n", "key", "lists", "bits"],
             )
 
-    new = [StructField("n", LongType()), StructField("key", BinaryType()), StructField("lists", ArrayType(LongType()))]
+    new = [StructField("n", LongType()), StructField("key", BinaryType()), StructField("lists", ArrayType(LongType())), StructField("bits", BinaryType())]
     return docs.select("id", "ref", "text").mapInArrow(run, StructType([docs.schema["id"], docs.schema["ref"], *new]))
 
 
+def held_bits(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return ((bits[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)
+
+
 def place(ref: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(ref), 64 - FILTER_BITS)
 
@@ -128,22 +152,34 @@ def ref_filter(refs: DataFrame) -> np.ndarray:
     return out
 
 
-def whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(sid, shingles): the sets of the classes ``wanted`` (cid), as sorted 64-bit numbers. A class's text is read where its ref's bit is set; what else has such a bit is no class of these and goes."""
-    chosen = classes.join(wanted.distinct(), "cid", "left_semi").select("key", "cid", "ref")
-    bits = docs.sparkSession.sparkContext.broadcast(ref_filter(chosen))
+def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(key, shingles): digests and sorted 64-bit numbers of the sets of texts whose ref's bit is set by ``wanted``, each once."""
+    bits = docs.sparkSession.sparkContext.broadcast(ref_filter(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(1).to_numpy()
-            keep = (bits.value[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)
-            part = batch.filter(pa.array(keep.astype(bool)))
+            part = batch.filter(pa.array(held_bits(bits.value, batch.column(1).to_numpy())))
             for lo in range(0, part.num_rows, BLOCK):
                 sets = [own.tobytes() for _, own in shingle_sets(part.column(0).slice(lo, BLOCK), k)]
                 yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in sets], pa.binary()), pa.array(sets, pa.binary())], names=["key", "shingles"])
 
-    sets = docs.select("text", place(F.col("ref")).alias("at")).mapInArrow(run, "key binary, shingles binary")
-    return sets.join(chosen.select("key", "cid"), "key").groupBy(F.col("cid").alias("sid")).agg(F.first("shingles").alias("shingles"))
+    return docs.select("text", place(F.col("ref")).alias("at")).mapInArrow(run, "key binary, shingles binary").groupBy("key").agg(F.first("shingles").alias("shingles"))
+
+
+def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose parity bits allow the threshold: sets that differ in d shingles at least share half of what their sizes exceed d by at most. No pair above the threshold goes."""
+    of = classes.select("cid", "n", "bits")
+    both = pairs.join(of.toDF("a", "na", "ba"), "a").join(of.toDF("b", "nb", "bb"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for na, nb, ba, bb in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
+                need = -(-percent * (na + nb) // (100 + percent))
+                keep.append(na + nb - least_apart(ba, bb) >= 2 * need)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(run, "a long, b long")
 
 
 def divide_skip(query: np.ndarray, members: list[np.ndarray], percent: int) -> list[int]:
@@ -191,12 +227,14 @@ def divide_skip(query: np.ndarray, members: list[np.ndarray], percent: int) -> l
     return out
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold. A query a and up to about BLOCK of its b meet in a block, to which a's set goes once."""
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets reach the threshold. A query a and up to about BLOCK of its b meet in a block, to which each set goes once."""
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).withColumnRenamed("a", "qa")
-    blocks = pairs.join(many, F.col("a") == F.col("qa")).withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
-    members = blocks.join(sets, F.col("b") == F.col("sid")).select("a", "block", F.lit(1).alias("kind"), "b", "shingles")
-    queries = blocks.select("a", "block").distinct().join(sets, F.col("a") == F.col("sid")).select("a", "block", F.lit(0).alias("kind"), F.col("a").alias("b"), "shingles")
+    blocks = pairs.join(many, F.col("a") == F.col("qa")).select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"))
+    queries = blocks.select("a", "block").distinct().select("a", F.col("a").alias("b"), "block", F.lit(0).alias("kind"))
+    routes = queries.unionByName(blocks.withColumn("kind", F.lit(1))).join(classes.select(F.col("cid").alias("b"), "key", "ref"), "b")
+    routes = materialise(routes)
+    sent = whole_sets(docs, routes, k).join(routes.drop("ref"), "key").select("a", "block", "kind", "b", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, query, ids, held, out = None, None, [], [], []
@@ -228,7 +266,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
-    dealt = queries.unionByName(members).repartition("a", "block").sortWithinPartitions("a", "block", "kind", "b")
+    dealt = sent.repartition("a", "block").sortWithinPartitions("a", "block", "kind", "b")
     return dealt.mapInArrow(run, "a long, b long")
 
 
@@ -271,31 +309,29 @@ def star_pairs(postings: DataFrame, turn: int, percent: int) -> DataFrame:
     return pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select("best.a", "b")
 
 
-def text_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(id, ref, n, key) of all rows; (key, cid, root) of all classes of equal sets, root being a number of the component; and the rows again with their texts."""
+def text_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(id, ref, n, key) of all rows, and (key, cid, root) of all classes of equal sets, root being a number of the component."""
     spark = docs.sparkSession
     named = docs.withColumn("ref", F.xxhash64(F.col("id").cast("string"), "text"))
     lists = materialise(short_lists(named, k, percent, shingle_counts(named, k)))
     rows = materialise(lists.select("id", "ref", "n", "key"))
-    heads = lists.where("n > 0").groupBy("key").agg(F.min("ref").alias("ref"), F.first("n").alias("n"), F.first("lists").alias("lists"))
+    heads = lists.where("n > 0").groupBy("key").agg(F.min("ref").alias("ref"), F.first("n").alias("n"), F.first("lists").alias("lists"), F.first("bits").alias("bits"))
     heads = materialise(heads.withColumn("cid", F.monotonically_increasing_id()))
     discard(spark, lists)
-    classes = materialise(heads.select("key", "ref", "cid"))
+    classes = materialise(heads.drop("lists"))
     # Rows (token, cid, n, at) of the short lists that hold two documents at least, with the token's place in the document's order.
-    postings = heads.select("cid", "n", F.posexplode("lists").alias("at", "token"))
+    postings = heads.select("cid", F.posexplode("lists").alias("at", "token"))
     found = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    postings = materialise(postings.join(found, "token"))
+    shared = materialise(postings.join(found, "token"))
     discard(spark, heads)
-    held = materialise(postings.groupBy("cid").agg(F.collect_list("token").alias("tokens"), F.sum("df").alias("score")))
-    scored = materialise(postings.join(held.select("cid", "score"), "cid"))
-    discard(spark, postings)
-    postings, joined, links = scored, None, None
+    held = shared.groupBy("cid").agg(F.sum("df").alias("score")).join(classes.select("cid", "n"), "cid")
+    postings, joined = materialise(shared.drop("df").join(held, "cid")), None
+    discard(spark, shared)
 
     def join_up(pairs: DataFrame) -> None:
-        nonlocal joined, links
-        pairs = materialise(pairs)
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid"))
-        new = materialise(verified(pairs, whole_sets(named, classes, wanted, k), percent))
+        nonlocal joined
+        pairs = materialise(plausible(pairs, classes, percent))
+        new = materialise(verified(pairs, classes, named, k, percent))
         edges = new if joined is None else new.unionByName(joined.toDF("a", "b"))
         before, joined = joined, materialise(components(edges))
         discard(spark, pairs, new, *([] if before is None else [before]))
@@ -312,18 +348,16 @@ def text_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     needed = least_overlap(F.col("na"), F.col("nb"), percent)
     early = (F.col("pa") <= F.col("na") - needed) & (F.col("pb") <= F.col("nb") - needed)
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    rest = left.join(right, "token").where(smaller & early & (F.col("ca") != F.col("cb")) & sizes_fit(percent)).select("a", "na", "b", "nb").distinct()
-    rest = rest.join(held.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a").join(held.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b")
-    join_up(rest.where(F.size(F.array_intersect("ta", "tb")) >= least_shared(percent)).select("a", "b"))
-    discard(spark, mixed, postings, held)
+    join_up(left.join(right, "token").where(smaller & early & (F.col("ca") != F.col("cb")) & sizes_fit(percent)).select("a", "b").distinct())
+    discard(spark, mixed, postings)
 
     roots = classes.join(joined.withColumnRenamed("id", "cid"), "cid", "left").select("key", "cid", F.coalesce("component", "cid").alias("root"))
-    return rows, roots, named
+    return rows, roots
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: id, n_shingles and component_id, the least id that links of ``percent`` or more reach."""
-    rows, roots, _ = text_classes(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, percent)
+    rows, roots = text_classes(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, percent)
     # Least ids by class first, so a group of many copies is summed before it is shuffled.
     least = rows.where("n > 0").groupBy("key").agg(F.min("id").alias("m")).join(roots, "key")
     named = least.groupBy("root").agg(F.min("m").alias("component_id"))
@@ -335,7 +369,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group of linked texts the one with the least id, rows with ids before those without. Rows without words all stay."""
-    rows, roots, _ = text_classes(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, percent)
+    rows, roots = text_classes(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, percent)
     one = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("ref"))
     best = rows.where("n > 0").groupBy("key").agg(F.min(one).alias("one")).join(roots, "key")
     best = materialise(best.join(best.groupBy("root").agg(F.min("one").alias("first")), "root").select("key", "first"))
@@ -343,9 +377,13 @@ def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     stays = F.col("ref") == F.col("first.ref")
     gone = materialise(judged.where(~stays).select(F.col("id").alias("_gone_id"), F.col("ref").alias("_gone_ref")).distinct())
     again = materialise(judged.where(stays).groupBy("id", "ref").agg(F.count("*").alias("copies")).where("copies > 1").select(F.col("id").alias("_gone_id"), F.col("ref").alias("_gone_ref")))
-    ref = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    # Rows whose ref's bit isn't set stay where they are; only the others, with their texts, are joined exactly.
+    bits = docs.sparkSession.sparkContext.broadcast(ref_filter(gone.unionByName(again).select(F.col("_gone_ref").alias("ref"))))
+    asked = F.pandas_udf(lambda at: pd.Series(held_bits(bits.value, at.to_numpy())), BooleanType())
+    own = docs.withColumn("_own_ref", F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))).withColumn("_asked", asked(place(F.col("_own_ref"))))
     same = F.col(id_col).eqNullSafe(F.col("_gone_id")) & (F.col("_own_ref") == F.col("_gone_ref"))
-    kept = docs.withColumn("_own_ref", ref).join(gone, same, "left_anti")
+    kept = own.where("_asked").join(gone, same, "left_anti")
     # Of equal rows that stay, one.
     once = kept.join(again, same, "left_semi").dropDuplicates([id_col, "_own_ref"])
-    return kept.join(again, same, "left_anti").unionByName(once).select(*docs.columns)
+    parts = (own.where("not _asked"), kept.join(again, same, "left_anti"), once)
+    return reduce(DataFrame.unionByName, (part.select(*docs.columns) for part in parts))
