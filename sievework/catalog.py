@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import ids, vectors
 from .operators import balance, cluster, dedup, filters, tables
+from .sources import files, shards, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,21 +121,19 @@ def q_safe_name(spark, sf):
     return t(spark, sf, "pages").select("page_id", ids.safe_name(F.col("url")).alias("name"))
 
 
-@query("""SELECT MIN(page_id) AS page_id, url, sha256(url) AS url_hash FROM pages WHERE regexp_matches(url, '^[Hh][Tt][Tt][Pp][Ss]?://[^/?#]+') GROUP BY url""")
+@query("""SELECT url, MIN(page_id::VARCHAR) AS row_id, 'pages' AS source, sha256(url) AS url_hash FROM pages WHERE regexp_matches(url, '^[Hh][Tt][Tt][Pp][Ss]?://[^/?#]+') AND page_id % 3 <> 0 GROUP BY url""")
 def q_url_candidates(spark, sf):
-    pages = t(spark, sf, "pages").where(filters.is_fetchable(F.col("url")))
-    return pages.groupBy("url").agg(F.min("page_id").alias("page_id")).withColumn("url_hash", F.sha2("url", 256))
+    pages = t(spark, sf, "pages").withColumn("wanted", F.col("page_id") % 3 != 0)
+    return urls.url_rows(pages, "url", id_col="page_id", required_true="wanted", source="pages").withColumn("url_hash", F.sha2("url", 256))
 
 
-@query("""WITH k AS (SELECT DISTINCT json_extract_string(props, '$.' || (json_keys(props))[1]) AS v FROM events WHERE event_id % 2 = 0),
-  p AS (SELECT event_id, json_extract_string(props, '$.' || (json_keys(props))[1]) AS v FROM events)
-  SELECT event_id, v IN (SELECT v FROM k) AS found FROM p""")
+@query("""WITH m AS (SELECT event_id, '{"files": ["' || event_type || '", "./' || user_id || '"]}' AS told FROM events WHERE event_id % 5 = 0),
+  asked AS (SELECT DISTINCT regexp_replace(unnest(json_extract_string(told, '$.files[*]')), '^(\\./)+', '') AS n FROM m)
+  SELECT event_id, user_id::VARCHAR AS name FROM events WHERE user_id::VARCHAR IN (SELECT n FROM asked)""")
 def q_json_membership(spark, sf):
     e = t(spark, sf, "events")
-    first = F.get(F.json_object_keys("props"), F.lit(0))
-    p = e.select("event_id", F.try_element_at(F.from_json("props", "map<string,string>"), first).alias("v"))
-    asked = p.where("event_id % 2 = 0").select("v").distinct().withColumn("found", F.lit(True))
-    return p.join(asked, "v", "left").select("event_id", F.coalesce("found", F.lit(False)).alias("found"))
+    told = e.where("event_id % 5 = 0").select(F.to_json(F.array(F.col("event_type"), F.concat(F.lit("./"), F.col("user_id").cast("string")))).alias("names"))
+    return files.named_members(e.select("event_id", F.col("user_id").cast("string").alias("name")), told, "names").select("event_id", "name")
 
 
 EXACT = f"ex AS (SELECT *, first_value(image_id) OVER (PARTITION BY file_hash, filesize ORDER BY {BEST}) AS kept_image_id FROM img)"
@@ -174,7 +173,8 @@ def vector_images(spark, sf):
     return images(spark, sf).join(t(spark, sf, "embeddings").select(F.col("vec_id").alias("image_id"), "embedding", F.col("label").alias("cluster_id")), "image_id")
 
 
-COMPONENTS = f"""{BITS}, ed AS (SELECT a, b FROM hp UNION ALL SELECT b, a FROM hp), cc(id, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT ed.b, cc.root FROM cc JOIN ed ON ed.a = cc.id),
+COMPONENTS = f"""{BITS}, kp AS (SELECT a, b FROM hp WHERE a IN (SELECT image_id FROM img) AND b IN (SELECT image_id FROM img)),
+ed AS (SELECT a, b FROM kp UNION ALL SELECT b, a FROM kp), cc(id, root) AS (SELECT image_id, image_id FROM img UNION SELECT ed.b, cc.root FROM cc JOIN ed ON ed.a = cc.id),
 roots AS (SELECT id, MIN(root) AS root FROM cc GROUP BY id)"""
 
 
@@ -348,21 +348,13 @@ def q_survivors(spark, sf):
     return dedup.exact_duplicates(images(spark, sf)).where("image_id = kept_image_id")
 
 
-PAIRS_C = """pr AS (SELECT vec_id, label, embedding FROM embeddings WHERE vec_id % 9 = 0), ks AS (SELECT vec_id, label, embedding FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(vec_id || ':42'), vec_id) AS place FROM embeddings WHERE vec_id % 9 <> 0) WHERE place <= 16),
+PAIRS_C = """pr AS (SELECT vec_id, label, embedding FROM embeddings WHERE vec_id % 9 = 0), ks AS (SELECT vec_id, label, embedding FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(vec_id || ':42'), vec_id) AS place FROM embeddings WHERE vec_id % 9 <> 0) WHERE place <= 2048),
 pc AS (SELECT p.vec_id AS pruned_image_id, arg_min(k.vec_id, (list_sum(list_transform(range(1, 65), lambda i: (p.embedding[i]::DOUBLE - k.embedding[i]) * (p.embedding[i]::DOUBLE - k.embedding[i]))), k.vec_id)) AS kept_image_id, p.label AS cluster_id,
  round(sqrt(MIN(list_sum(list_transform(range(1, 65), lambda i: (p.embedding[i]::DOUBLE - k.embedding[i]) * (p.embedding[i]::DOUBLE - k.embedding[i]))))), 5) AS dist FROM pr p JOIN ks k ON k.label = p.label GROUP BY p.vec_id, p.label)"""
 
 
 @query(f"WITH {PAIRS_C} SELECT * FROM pc")
 def q_pairs_cluster(spark, sf):
-    """With 16 kept rows a cluster, as its SQL has them; q_pairs_cluster_whole has the operator's 2,048."""
-    e = t(spark, sf, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("label").alias("cluster_id"), "embedding", (F.col("vec_id") % 9 == 0).alias("pruned"))
-    return cluster.pairs_in_clusters(e, kept_sample=16, seed=SEED).withColumn("dist", F.round("dist", 5))
-
-
-@query(f"WITH {PAIRS_C.replace('place <= 16', 'place <= 2048')} SELECT * FROM pc")
-def q_pairs_cluster_whole(spark, sf):
-    """With the reference's 2,048 kept rows a cluster."""
     e = t(spark, sf, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("label").alias("cluster_id"), "embedding", (F.col("vec_id") % 9 == 0).alias("pruned"))
     return cluster.pairs_in_clusters(e, seed=SEED).withColumn("dist", F.round("dist", 5))
 
@@ -389,7 +381,7 @@ def q_shard_plan(spark, sf):
 @query("SELECT source || '-' || lpad((doc_id % 3)::VARCHAR, 6, '0') || '.tar' AS shard, COUNT(*) AS n FROM documents GROUP BY ALL")
 def q_shard_counts(spark, sf):
     d = t(spark, sf, "documents").select(F.concat("source", F.lit("-"), F.lpad((F.col("doc_id") % 3).cast("string"), 6, "0"), F.lit(".tar")).alias("shard"))
-    return d.groupBy("shard").agg(F.count("*").alias("n"))
+    return shards.shard_counts(d)
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 'N' FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0")
@@ -422,10 +414,12 @@ def q_examples(spark, sf):
     return tables.examples(e, 1, 6)
 
 
-@query("SELECT status, COUNT(*) AS n, COUNT(*) FILTER (status <> 'complete') AS open FROM (SELECT CASE WHEN p_size < 10 THEN 'missing' WHEN p_size < 20 THEN 'loose' ELSE 'complete' END AS status FROM part) GROUP BY status")
+@query("SELECT status, COUNT(*) AS n FROM (SELECT CASE p_size % 4 WHEN 0 THEN 'webdataset_complete' WHEN 1 THEN 'webdataset_compacting' WHEN 2 THEN 'raw_tar_complete' ELSE 'missing' END AS status FROM part) GROUP BY status")
 def q_inventory(spark, sf):
-    s = F.when(F.col("p_size") < 10, "missing").when(F.col("p_size") < 20, "loose").otherwise("complete")
-    return t(spark, sf, "part").select(s.alias("status")).groupBy("status").agg(F.count("*").alias("n"), F.count_if(F.col("status") != "complete").alias("open"))
+    """Folders' states from their markers' texts."""
+    state = F.element_at(F.array(*map(F.lit, ("complete", "compacting", "raw", "other"))), (F.col("p_size") % 4 + 1).cast("int"))
+    marked = t(spark, sf, "part").select(files.status_of(state, F.lit(False), F.lit(False)).alias("status"))
+    return marked.groupBy("status").agg(F.count("*").alias("n"))
 
 
 @query("SELECT source, dense_rank() OVER (ORDER BY source) - 1 AS code FROM (SELECT DISTINCT source FROM documents)")
@@ -445,3 +439,41 @@ def q_vector_functions(spark, sf):
     one = e.where("vec_id = 0").select("embedding").first()[0]
     ref = F.lit([float(x) for x in one])
     return e.select("vec_id", F.round(vectors.cosine(F.col("embedding"), ref), 5).alias("cosine"), F.round(F.sqrt(vectors.squared_l2(F.col("embedding"), ref)), 5).alias("l2"))
+
+
+# Scalar functions on literal tables and columns.
+@query("""SELECT page_id, 'https://x/' || page_id AS path, lower(hex(page_id)) AS code, CASE page_id % 4 WHEN 0 THEN '.png' WHEN 1 THEN '.jpg' WHEN 2 THEN '.webp' ELSE '.img' END AS extension,
+  CASE page_id % 4 WHEN 0 THEN 'image/png' WHEN 1 THEN 'image/jpeg' WHEN 2 THEN 'image/webp' ELSE 'application/octet-stream' END AS media FROM pages""".replace("lower(hex(page_id))", "lpad(lower(to_hex(page_id)), 16, '0')"))
+def q_names_and_types(spark, sf):
+    head = F.element_at(F.array(*(F.lit(bytes(x)) for x in (b"\x89PNG\r\n\x1a\n", b"\xff\xd8\xff\xe0", b"RIFF\0\0\0\0WEBP", b"junk"))), (F.col("page_id") % 4 + 1).cast("int"))
+    p = t(spark, sf, "pages").withColumn("extension", ids.sniff_extension(head))
+    return p.select("page_id", F.concat(F.lit("https://x/"), F.col("page_id").cast("string")).alias("path"), ids.hex16(F.col("page_id")).alias("code"), "extension", ids.media_type(F.concat(F.lit("a"), F.col("extension"))).alias("media"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang || '/' || doc_id ELSE 'wds://' || source || '.tar#' || doc_id END AS uri, doc_id % 8 AS owner, replace(lang || '\\' || source, '\\', '/') AS rel FROM documents")
+def q_locators(spark, sf):
+    d = t(spark, sf, "documents")
+    ident = F.col("doc_id").cast("string")
+    shard = F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.concat("source", F.lit(".tar")))
+    uri = ids.display_uri(F.concat_ws("/", "lang", ident), shard, ident)
+    return d.select("doc_id", uri.alias("uri"), ids.owner(F.col("doc_id"), 8).cast("long").alias("owner"), ids.relpath(F.concat("lang", F.lit("\\"), "source")).alias("rel"))
+
+
+@query("SELECT page_id, regexp_matches(lower(name), '\\.(jpg|jpeg|png|webp|bmp|gif|tif|tiff|heic|heif|jxl|avif)$') AS image, page_id % 4 = 3 AS unsafe FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'a/b.PNG' WHEN 1 THEN 'a/b.txt' WHEN 2 THEN 'b.jpeg' ELSE 'a/../b.gif' END AS name FROM pages)")
+def q_member_tests(spark, sf):
+    name = F.element_at(F.array(*map(F.lit, ("a/b.PNG", "a/b.txt", "b.jpeg", "a/../b.gif"))), (F.col("page_id") % 4 + 1).cast("int"))
+    return t(spark, sf, "pages").select("page_id", ids.is_image_name(name).alias("image"), ids.is_unsafe_member(name).alias("unsafe"))
+
+
+@query(f"""WITH RECURSIVE {IMAGES}, {COMPONENTS}, {EXACT}, heads AS (SELECT * FROM ex WHERE image_id = kept_image_id),
+  hk AS (SELECT a, b FROM kp WHERE a IN (SELECT image_id FROM heads) AND b IN (SELECT image_id FROM heads)), he AS (SELECT a, b FROM hk UNION ALL SELECT b, a FROM hk),
+  hc(id, root) AS (SELECT image_id, image_id FROM heads UNION SELECT he.b, hc.root FROM hc JOIN he ON he.a = hc.id), hr AS (SELECT id, MIN(root) AS root FROM hc GROUP BY id),
+  nd AS (SELECT image_id, first_value(image_id) OVER (PARTITION BY root ORDER BY {BEST}) AS kept FROM heads JOIN hr ON id = image_id),
+  j AS (SELECT ex.image_id, ex.path, ex.dataset, CASE WHEN ex.kept_image_id <> ex.image_id THEN 'duplicate_exact' ELSE 'duplicate_phash' END AS reason, nd.kept AS kept_image_id FROM ex JOIN nd ON nd.image_id = ex.kept_image_id)
+  SELECT * FROM j WHERE kept_image_id <> image_id""")
+def q_removed(spark, sf):
+    known = images(spark, sf)
+    exact = dedup.exact_duplicates(known)
+    heads = exact.where("image_id = kept_image_id").drop("kept_image_id")
+    both = hash_pairs(spark, sf).join(heads.select(F.col("image_id").alias("a")), "a", "left_semi").join(heads.select(F.col("image_id").alias("b")), "b", "left_semi")
+    return dedup.removed_table(known, exact, dedup.near_duplicates(heads, both))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_PIXELS = 512 << 20
+MOST_PIXELS = 512_000_000
 THUMB = 1024
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,9 @@ def choose_k(n: int, k: int = 0, aggressiveness: float = 0.5) -> int:
 
 
 def fit_kmeans(df: DataFrame, k: int, seed: int = 42, vector: str = "embedding") -> DataFrame:
-    """(cluster_id, centroid) by distributed k-means."""
+    """(cluster_id, centroid) by distributed k-means; a single cluster is the mean."""
+    if k == 1:
+        return mean_centroids(df.withColumn("_one", F.lit(0)), "_one", vector)
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -37,25 +40,40 @@ def mean_centroids(df: DataFrame, cluster: str, vector: str = "embedding") -> Da
 
 
 def assign_nearest(df: DataFrame, centroids: DataFrame, *, keys: list[str], vector: str = "embedding") -> DataFrame:
-    """Keys with cluster_id and dist of the nearest centroid; ties go to the least id. The centroids are sent to all tasks if they are below MOST_CENTROID_BYTES."""
-    rows = sorted((r["cluster_id"], r["centroid"]) for r in centroids.limit(1_000_001).collect())
-    matrix = np.array([c for _, c in rows], np.float64)
-    if matrix.nbytes > MOST_CENTROID_BYTES:
-        raise ValueError(f"centroids take {matrix.nbytes} bytes; cluster in levels instead")
-    ids = np.array([i for i, _ in rows])
-    schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys) + ", cluster_id int, dist double"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        squares = (matrix**2).sum(1)
-        for pdf in batches:
-            for at in range(0, len(pdf), 4096):
-                part = pdf.iloc[at : at + 4096]
-                x = np.stack(part["_v"].to_numpy()).astype(np.float64)
-                d2 = np.maximum((x**2).sum(1)[:, None] - 2 * x @ matrix.T + squares, 0)
-                best = d2.argmin(1)
-                yield part[keys].assign(cluster_id=ids[best].astype(np.int32), dist=np.sqrt(((x - matrix[best]) ** 2).sum(1)))
-
-    return df.select(*keys, F.col(vector).alias("_v")).mapInPandas(run, schema)
+    """Keys with cluster_id and dist of the nearest centroid; ties go to the least id.
+
+    Centroids are sent to all tasks in blocks below MOST_CENTROID_BYTES, chosen after they are counted; each block is
+    one pass over the rows, which keep the best so far.
+    """
+    n, dim = centroids.agg(F.count("*"), F.max(F.size("centroid"))).first()
+    blocks = -(-(n * (dim or 0) * 8) // MOST_CENTROID_BYTES)
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{kinds}, _v {df.schema[vector].dataType.simpleString()}, cluster_id int, dist double"
+    out = df.select(*keys, F.col(vector).alias("_v"), F.lit(None).cast("int").alias("cluster_id"), F.lit(float("inf")).alias("dist"))
+    for block in range(max(1, blocks)):
+        part = centroids.where(F.pmod(F.col("cluster_id"), F.lit(max(1, blocks))) == block)
+        rows = sorted((r["cluster_id"], r["centroid"]) for r in part.collect())
+        if rows:
+            sent = df.sparkSession.sparkContext.broadcast((np.array([i for i, _ in rows]), np.array([c for _, c in rows], np.float64)))
+            out = out.mapInPandas(partial(nearer, sent), schema)
+    return out.drop("_v")
+
+
+def nearer(sent, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows with the nearest of the sent centroids where that is nearer than what they have."""
+    ids, matrix = sent.value
+    squares = (matrix**2).sum(1)
+    for pdf in batches:
+        for at in range(0, len(pdf), 4096):
+            part = pdf.iloc[at : at + 4096].copy()
+            x = np.stack(part["_v"].to_numpy()).astype(np.float64)
+            best = np.maximum((x**2).sum(1)[:, None] - 2 * x @ matrix.T + squares, 0).argmin(1)
+            dist, had = np.sqrt(((x - matrix[best]) ** 2).sum(1)), part["dist"].to_numpy()
+            old = part["cluster_id"].fillna(np.iinfo(np.int32).max).to_numpy().astype(np.int64)
+            take = (dist < had) | ((dist == had) & (ids[best] < old))
+            part["cluster_id"] = np.where(take, ids[best], old).astype(np.int32)
+            part["dist"] = np.where(take, dist, had)
+            yield part
 
 
 def cluster_summary(assignments: DataFrame, k: int) -> DataFrame:

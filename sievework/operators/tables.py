@@ -14,8 +14,10 @@ def insert_or_ignore(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def insert_or_replace(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows with new keys replace old ones."""
-    return old.join(new.select(key), key, "left_anti").unionByName(new)
+    """Rows with new keys replace old ones; of equal new keys the greatest by all columns counts, as rows have no order."""
+    row = F.struct(*(c for c in new.columns if c != key))
+    last = new.groupBy(key).agg(F.max(row).alias("row")).select(key, "row.*").select(*new.columns) if len(new.columns) > 1 else new.distinct()
+    return old.join(last.select(key), key, "left_anti").unionByName(last)
 
 
 def compacted(index: DataFrame, selected: DataFrame, key: str = "image_id") -> DataFrame:

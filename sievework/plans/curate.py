@@ -1,36 +1,52 @@
-"""The curation flow over image folders and archives: scan, header filter, fingerprints, duplicates, embedding, clusters, manifest.
+"""The curation flow: scan, header filter, fingerprints, duplicates, embedding, clusters, manifest.
 
-Each stage is a table below work_dir that is written once; a stage whose table is there is skipped.
+Each stage is a table below work_dir that is written once. A stage whose table is there is skipped, unless it was made
+with other settings or a stage before it ran again. Images of tables and archives go to tar shards below data_dir; loose
+images stay where they are. Tables hold locators only: bytes are read where they are needed and never shuffled, but
+once to bring samples of a shard together.
 """
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 import os
 import sys
+from collections.abc import Callable
+from functools import reduce
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import images, vectors
-from ..functions.ids import image_id, parse_ratio, split_draw, split_of
+from ..functions.ids import chosen_extension, image_id, parse_ratio, split_draw, split_of
 from ..operators import balance, cluster, dedup, filters, tables
-from ..sources import files, shards
-from .config import Config, ConfigError, load
+from ..sources import files, paths, raw, shards
+from .config import ConfigError, load
+from .rows import records
 
 STAGES = ("scan", "headerscan", "fingerprint", "dedup", "embed", "cluster", "manifest")
 
 
 class Run:
-    def __init__(self, spark: SparkSession, cfg: Config, embedder=images.pixel_embedder, dim: int = 64):
-        self.spark, self.cfg, self.embedder, self.dim = spark, cfg, embedder, dim
+    """A run of a configuration. ``fetch`` gets the files of a repository, as in ``sources.raw.snapshot``."""
+
+    def __init__(self, spark: SparkSession, cfg: SimpleNamespace, embedder=images.pixel_embedder, dim: int = 64, fetch: Callable[..., None] | None = None):
+        self.spark, self.cfg, self.embedder, self.dim, self.fetch = spark, cfg, embedder, dim, fetch
 
     def at(self, name: str) -> str:
         return f"{self.cfg.work_dir}/{name}"
 
+    def settings(self, name: str) -> str:
+        """A digest of what a stage and those before it depend on."""
+        used = {"scan": ("datasets", "storage"), "headerscan": ("filters",), "fingerprint": ("dedup",), "dedup": (), "embed": ("embedding",), "cluster": ("clustering",), "manifest": ("balance",)}
+        parts = [section for stage in STAGES[: STAGES.index(name) + 1] for section in used[stage]]
+        return hashlib.sha256(repr([(p, getattr(self.cfg, p)) for p in parts]).encode()).hexdigest()[:16]
+
     def done(self, name: str) -> bool:
-        return os.path.exists(f"{self.at(name)}/_SUCCESS")
+        return paths.exists(self.spark, f"{self.at(name)}/_SUCCESS") and paths.exists(self.spark, f"{self.at('_runs')}/{name}-{self.settings(name)}")
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.at(name))
@@ -38,37 +54,61 @@ class Run:
     def keep(self, name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(self.at(name))
 
+    def content(self, df: DataFrame) -> DataFrame:
+        """``df`` with the bytes of its images."""
+        return files.read_ranges(df, self.cfg.data_dir)
+
+    def source(self, d: SimpleNamespace) -> str:
+        """The folder of a dataset's files; a repository's are fetched once."""
+        if d.path:
+            if not files.listed(d.path):
+                raise ConfigError(f"{d.name}: nothing below {d.path}")
+            return d.path
+        home = os.path.join(self.cfg.data_dir, d.name)
+        if not self.fetch and not os.path.isdir(os.path.join(home, "snapshot")):
+            raise ConfigError(f"{d.name}: {d.repo_id} isn't below {home}/snapshot and there is no fetcher")
+        return raw.snapshot(home, d.repo_id, self.fetch, revision=d.revision or None, allow_patterns=list(d.allow_patterns) or None, workers=self.cfg.download.max_workers)
+
+    def dataset(self, d: SimpleNamespace) -> DataFrame | None:
+        """Rows with locators of a dataset; None for one that is only to be archived."""
+        root, home, store = self.source(d), os.path.join(self.cfg.data_dir, d.name), self.cfg.storage
+        if d.download_only:
+            raw.archive_raw(root, home, d.name)
+            return None
+        rows = records(self.spark, d, root)
+        if "loose" in rows.columns:
+            out = rows.withColumn("path", F.concat(F.lit(d.name + "/"), "inside")).withColumn("image_id", image_id("path")).withColumn("path", F.col("loose"))
+            out = out.withColumns({"shard": F.lit(""), "member": F.lit(""), "offset": F.lit(0).cast("long"), "size": F.lit(0).cast("long")})
+        else:
+            rows = rows.withColumns({"path": F.concat(F.lit(d.name + "/"), "inside"), "dataset": F.lit(d.name), "extension": chosen_extension(F.col("inside"), F.col("content")), "meta": F.lit("{}")})
+            index = shards.write_shards(rows.withColumn("image_id", image_id("path")), home, most_rows=store.max_samples_per_shard, most_bytes=store.target_shard_bytes)
+            shards.write_descriptor(index, home, d.name)
+            raw.clean_up(home, keep_snapshot=self.cfg.download.retain_snapshots or not self.fetch)
+            out = index.withColumn("filesize", F.col("size")).withColumn("shard", F.concat(F.lit(d.name + "/"), "shard"))
+        out = out.select("image_id", "path", F.lit(d.name).alias("dataset"), "label", "generator", "source_split", "filesize", "shard", "member", "offset", "size")
+        labels = {r["label"]: r["n"] for r in out.groupBy("label").agg(F.count("*").alias("n")).collect()}  # three at most
+        if not labels:
+            raise ConfigError(f"{d.name}: no images below {root}")
+        if d.label == "folder" and d.path and set(labels) == {"unknown"}:
+            raise ConfigError(f"{d.name}: no folder below {root} names a label")
+        return out
+
     def scan(self) -> None:
-        out = []
-        for d in self.cfg.datasets:
-            kind = files.detect_format(d.path) if d.format == "auto" else d.format
-            if kind == "imagefolder":
-                found = files.read_images(self.spark, d.path, d.image_dir or None)
-                rest = F.regexp_replace(F.regexp_replace("path", "^file:/*", "/"), "^" + os.path.abspath(d.path).rstrip("/") + "/", "")
-                rows = found.select(F.concat(F.lit(d.name + "/"), rest).alias("path"), rest.alias("inside"), F.col("length").alias("filesize"), "content")
-            else:
-                found = files.read_archives(self.spark, d.path)
-                inside = F.concat_ws("/", "archive", "name")
-                rows = found.select(F.concat(F.lit(d.name + "/"), inside).alias("path"), inside.alias("inside"), F.length("content").cast("long").alias("filesize"), "content")
-            label, generator = filters.path_meta(F.col("inside"), F.lit(d.name), d.label_map)
-            label = label if d.label == "folder" else F.lit(d.label)
-            rows = rows.select("path", F.lit(d.name).alias("dataset"), label.alias("label"), (F.lit(d.generator) if d.generator else generator).alias("generator"), "filesize", "content")
-            out.append(rows.withColumn("image_id", image_id("path")).withColumn("shard", F.lit("")).withColumn("member", F.lit("")).withColumn("offset", F.lit(0).cast("long")).withColumn("size", F.lit(0).cast("long")))
-        first, *more = out
-        for df in more:
-            first = first.unionByName(df)
-        self.keep("scan", first)
+        found = [rows for d in self.cfg.datasets if (rows := self.dataset(d)) is not None]
+        if not found:
+            raise ConfigError("all datasets are raw")
+        self.keep("scan", reduce(DataFrame.unionByName, found))
 
     def headerscan(self) -> None:
         f = self.cfg.filters
-        df = images.with_headers(self.table("scan")).withColumn("reason", filters.header_reason(F.col("width"), F.col("height"), F.col("broken"), f.min_longest_side, parse_ratio(f.max_tall), parse_ratio(f.max_wide)))
+        df = images.with_headers(self.content(self.table("scan"))).withColumn("reason", filters.header_reason(F.col("width"), F.col("height"), F.col("broken"), f.min_longest_side, parse_ratio(f.max_tall), parse_ratio(f.max_wide)))
         self.keep("headerscan", df)
 
     def fingerprint(self) -> None:
         f = self.cfg.filters
         kept = self.table("headerscan").where("reason is null").drop("reason", "broken")
-        marks = images.fingerprints(self.table("scan").join(kept.select("image_id"), "image_id", "left_semi"), ["image_id"], size=self.cfg.dedup.phash_size)
-        self.keep("fingerprint", kept.join(marks, "image_id").withColumn("reason", filters.sharpness_reason(F.col("laplacian"), f.laplacian_min, f.laplacian_max)))
+        marks = images.fingerprints(self.content(kept), kept.columns, size=self.cfg.dedup.phash_size)
+        self.keep("fingerprint", marks.withColumn("reason", filters.sharpness_reason(F.col("laplacian"), f.laplacian_min, f.laplacian_max)))
 
     def dedup(self) -> None:
         d = self.cfg.dedup
@@ -83,8 +123,7 @@ class Run:
         self.keep("dedup", live.join(self.table("removed").select("image_id"), "image_id", "left_anti"))
 
     def embed(self) -> None:
-        content = self.table("scan").join(self.table("dedup").select("image_id"), "image_id", "left_semi")
-        self.keep("embed", images.embed(content, ["image_id"], self.embedder, self.dim))
+        self.keep("embed", images.embed(self.content(self.table("dedup")), ["image_id"], self.embedder, self.dim, batch=self.cfg.embedding.batch_size))
 
     def cluster(self) -> None:
         c, e = self.cfg.clustering, self.table("embed")
@@ -109,14 +148,33 @@ class Run:
         chosen = balance.trim_majority(picked, b.max_label_ratio).drop("pick").withColumn("label", F.col("name")).unionByName(live.where(aside))
         rows = tables.manifest_rows(chosen.withColumn("split", split_of(split_draw(F.col("image_id"), b.seed), b.test_fraction, b.val_fraction, F.col("forced_split"))))
         shards.write_manifest(rows, self.cfg.work_dir, b.emit_csv)
+        if self.cfg.storage.compact_after_manifest:
+            self.compact()
+
+    def compact(self) -> None:
+        """Rewrites each dataset's shards with the manifest's rows, and the locators with them."""
+        rows = self.spark.createDataFrame([], "image_id long, shard string, member string, offset long, size long")
+        for d in self.cfg.datasets:
+            home = os.path.join(self.cfg.data_dir, d.name)
+            mine = self.table("manifest").where(F.col("source_dataset") == d.name)
+            if files.read_marker(home).get("state") in ("complete", "compacting") and not mine.isEmpty():
+                index = shards.compact(self.spark, home, mine, most_rows=self.cfg.storage.max_samples_per_shard, most_bytes=self.cfg.storage.target_shard_bytes)
+                rows = rows.unionByName(index.withColumn("shard", F.concat(F.lit(d.name + "/"), "shard")).select(*rows.columns))
+        self.keep("locators", rows)
+        self.keep("manifest_new", tables.refresh_locators(self.table("manifest"), self.table("locators")))
+        shards.write_manifest(self.table("manifest_new"), self.cfg.work_dir, self.cfg.balance.emit_csv)
+        paths.remove(self.spark, self.at("manifest_new"))
 
     def run(self, only: str | None = None) -> dict[str, str]:
-        said = {}
-        for name in STAGES if only is None else (only,):
-            if only is None and self.done(name):
+        """What was done, by stage. A single stage is run with those before it that aren't done."""
+        said, again = {}, False
+        for name in STAGES if only is None else STAGES[: STAGES.index(only) + 1]:
+            if not again and self.done(name) and name != only:
                 said[name] = "skipped"
                 continue
+            again = True
             getattr(self, name)()
+            self.spark.range(1).write.mode("overwrite").parquet(f"{self.at('_runs')}/{name}-{self.settings(name)}")
             said[name] = "done"
         return said
 
@@ -124,7 +182,7 @@ class Run:
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="sievework")
     sub = p.add_subparsers(dest="what", required=True)
-    for name in ("run", "stage", "inventory"):
+    for name in ("run", "stage", "inventory", "compact"):
         s = sub.add_parser(name)
         if name == "stage":
             s.add_argument("stage", choices=STAGES)
@@ -137,14 +195,23 @@ def main(argv: list[str] | None = None) -> int:
         print(e, file=sys.stderr)
         return 2
     if args.what == "inventory":
+        spark = SparkSession.builder.getOrCreate()
         for d in cfg.datasets:
-            print(json.dumps({"dataset": d.name, "status": files.dataset_status(d.path)}))
+            print(json.dumps({"dataset": d.name, "status": files.dataset_status(spark, d.path or os.path.join(cfg.data_dir, d.name))}))
         return 0
     if args.dry_run:
-        print(json.dumps({name: "done" if os.path.exists(f"{cfg.work_dir}/{name}/_SUCCESS") else "planned" for name in STAGES}))
+        plan = Run(SparkSession.builder.getOrCreate(), cfg)
+        print(json.dumps({name: "done" if plan.done(name) else "planned" for name in STAGES}))
         return 0
     spark = SparkSession.builder.getOrCreate()
-    print(json.dumps(Run(spark, cfg).run(args.stage if args.what == "stage" else None)))
+    try:
+        if args.what == "compact":
+            Run(spark, cfg).compact()
+        else:
+            print(json.dumps(Run(spark, cfg).run(args.stage if args.what == "stage" else None)))
+    except ConfigError as e:
+        print(e, file=sys.stderr)
+        return 2
     return 0
 
 

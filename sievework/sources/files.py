@@ -45,14 +45,14 @@ def split_files(paths: list[str], split: str | None) -> list[str]:
     return named or paths
 
 
-def read_parquet(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.option("recursiveFileLookup", True).parquet(root)
+def read_parquet(spark: SparkSession, root: str | list[str], columns: list[str] | None = None) -> DataFrame:
+    df = spark.read.option("recursiveFileLookup", True).parquet(*([root] if isinstance(root, str) else root))
     return df.select(*columns) if columns else df
 
 
 def read_jsonl(spark: SparkSession, root: str, columns: list[str]) -> DataFrame:
     """Text columns; a bad line fails the job."""
-    return spark.read.option("mode", "FAILFAST").option("recursiveFileLookup", True).schema(", ".join(f"`{c}` string" for c in columns)).json(root)
+    return spark.read.option("mode", "FAILFAST").schema(", ".join(f"`{c}` string" for c in columns)).json(listed(root, (".jsonl", ".ndjson")))
 
 
 def read_images(spark: SparkSession, root: str, image_dir: str | None = None) -> DataFrame:
@@ -233,17 +233,31 @@ def read_arrow(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("arrow_ipc").option("path", root).load()
 
 
-def named_members(archive: DataFrame, metadata: DataFrame, column: str) -> DataFrame:
-    """Members that the metadata's column names, a name or a list of names; a leading ./ doesn't matter."""
+def plain_name(name: Column) -> Column:
+    """Without leading ./."""
+    return F.regexp_replace(name, r"^(\./)+", "")
+
+
+def asked_names(metadata: DataFrame, column: str) -> DataFrame:
+    """(asked): the distinct names in a column of names, of lists of names, or of JSON text of either."""
     kind = dict(metadata.dtypes)[column]
-    names = metadata.select(F.explode(column).alias("n") if kind.startswith("array") else F.col(column).alias("n")).where("n is not null")
-    plain = lambda c: F.regexp_replace(c, r"^(\./)+", "")
-    return archive.join(names.select(plain(F.col("n")).alias("asked")).distinct(), plain(F.col("name")) == F.col("asked"), "left_semi")
+    if kind.startswith("array"):
+        names = F.explode(column)
+    else:
+        text = F.trim(F.col(column))
+        listed_names = F.when(F.startswith(text, F.lit("[")), F.from_json(text, "array<string>")).when(F.startswith(text, F.lit('"')), F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"))
+        names = F.explode(F.coalesce(listed_names, F.array(F.col(column))))
+    return metadata.select(names.alias("n")).where("n is not null").select(plain_name(F.col("n")).alias("asked")).distinct()
+
+
+def named_members(archive: DataFrame, metadata: DataFrame, column: str) -> DataFrame:
+    """Members that the metadata's column names; a leading ./ doesn't matter."""
+    return archive.join(asked_names(metadata, column), plain_name(F.col("name")) == F.col("asked"), "left_semi")
 
 
 def missing_members(archive: DataFrame, metadata: DataFrame, column: str) -> int:
-    asked = metadata.select(F.regexp_replace(column, r"^(\./)+", "").alias("name")).distinct()
-    return asked.join(archive.select(F.regexp_replace("name", r"^(\./)+", "").alias("name")), "name", "left_anti").count()
+    """How many names of the metadata's column no member has."""
+    return asked_names(metadata, column).join(archive.select(plain_name(F.col("name")).alias("asked")), "asked", "left_anti").count()
 
 
 def payload(df: DataFrame, column: str, roots: list[str]) -> Column:
@@ -307,12 +321,9 @@ def unsigned_ids(df: DataFrame, *columns: str) -> DataFrame:
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
     """(dataset, status) of the folders below root."""
-    rows = []
-    for name in sorted(os.listdir(root)) if os.path.isdir(root) else []:
-        at = os.path.join(root, name)
-        if os.path.isdir(at):
-            rows.append((name, dataset_status(at)))
-    return spark.createDataFrame(rows, "dataset string, status string")
+    names = [n for n in sorted(os.listdir(root)) if os.path.isdir(os.path.join(root, n))] if os.path.isdir(root) else []
+    rows = spark.createDataFrame([(n, *dataset_facts(os.path.join(root, n))) for n in names], "dataset string, state string, loose boolean, snapshot boolean")
+    return rows.select("dataset", status_of(F.col("state"), F.col("loose"), F.col("snapshot")).alias("status"))
 
 
 def read_marker(root: str) -> dict:
@@ -323,17 +334,17 @@ def read_marker(root: str) -> dict:
         return {}
 
 
-def dataset_status(root: str) -> str:
+def status_of(state: Column, loose: Column, snapshot: Column) -> Column:
     """Complete or compacting shards, a raw archive, loose images, a snapshot, or missing."""
-    state, loose, snapshot = read_marker(root).get("state"), bool(listed(root, IMAGE_SUFFIXES)), os.path.isdir(os.path.join(root, "snapshot"))
-    if state == "complete":
-        return "webdataset_complete"
-    if state == "compacting":
-        return "webdataset_compacting"
-    if state == "raw":
-        return "raw_tar_complete"
-    if state == "loose":
-        return "loose_complete"
-    if loose:
-        return "loose_partial_with_snapshot" if snapshot else "loose_only"
-    return "snapshot_only" if snapshot else "missing"
+    marked = F.when(state == "complete", "webdataset_complete").when(state == "compacting", "webdataset_compacting").when(state == "raw", "raw_tar_complete").when(state == "loose", "loose_complete")
+    return marked.when(loose & snapshot, "loose_partial_with_snapshot").when(loose, "loose_only").when(snapshot, "snapshot_only").otherwise("missing")
+
+
+def dataset_facts(root: str) -> tuple[str, bool, bool]:
+    """A folder's marked state, whether it has loose images, and a snapshot."""
+    return read_marker(root).get("state") or "", bool(listed(root, IMAGE_SUFFIXES)), os.path.isdir(os.path.join(root, "snapshot"))
+
+
+def dataset_status(spark: SparkSession, root: str) -> str:
+    facts = spark.createDataFrame([dataset_facts(root)], "state string, loose boolean, snapshot boolean")
+    return facts.select(status_of(F.col("state"), F.col("loose"), F.col("snapshot"))).first()[0]

@@ -22,8 +22,7 @@ CSV_ROWS = 1_000_000
 
 @dataclass
 class Written(WriterCommitMessage):
-    shards: list[tuple[str, str]]
-    rows: list[tuple]
+    shards: list[str]
 
 
 class TarShards(DataSource):
@@ -47,66 +46,74 @@ class TarWriter(DataSourceWriter):
 
     def write(self, rows: Iterator) -> Written:
         os.makedirs(self.root, exist_ok=True)
-        shards, index, tar, handle, count, size = [], [], None, None, 0, 0
+        shards, lines, tar, handle, count, size = [], None, None, None, 0, 0
         for r in rows:
             key = f"{r.image_id & (1 << 64) - 1:016x}"
             meta = json.dumps({"__key__": key, "image_id": str(r.image_id & (1 << 64) - 1), "path": r.path, "dataset": r.dataset, "label": r.label, "generator": r.generator, "source_split": r.source_split, "source_metadata": json.loads(r.meta or "{}")}, ensure_ascii=False, separators=(",", ":")).encode()
             need = 1024 + padded(len(r.content)) + padded(len(meta))
             if tar and (count >= self.most_rows or size + need > self.most_bytes):
-                self.close(tar, handle)
+                self.close(tar, handle, lines)
                 tar = None
             if tar is None:
                 partial = f"{uuid.uuid4().hex}.partial"
                 handle = open(os.path.join(self.root, partial), "w+b")  # noqa: SIM115
                 tar, count, size = tarfile.open(fileobj=handle, mode="w", format=tarfile.USTAR_FORMAT), 0, 0
+                lines = open(os.path.join(self.root, f"{partial}.jsonl"), "w", encoding="utf-8")  # noqa: SIM115
                 shards.append(partial)
             member, at = key + r.extension, handle.tell() + 512
             for name, data in ((member, r.content), (f"{key}.json", meta)):
                 info = tarfile.TarInfo(name)
                 info.size, info.mode, info.mtime = len(data), 0o644, 0
                 tar.addfile(info, io.BytesIO(data))
-            index.append((r.image_id, r.path, r.dataset, r.label, r.generator, r.source_split, shards[-1], member, at, len(r.content), r.extension))
+            row = {"image_id": r.image_id, "path": r.path, "dataset": r.dataset, "label": r.label, "generator": r.generator, "source_split": r.source_split, "member": member, "offset": at, "size": len(r.content), "extension": r.extension}
+            lines.write(json.dumps(row, ensure_ascii=False) + "\n")
             count, size = count + 1, size + need
         if tar:
-            self.close(tar, handle)
-        return Written([(s, s) for s in shards], index)
+            self.close(tar, handle, lines)
+        return Written(shards)
 
     @staticmethod
-    def close(tar, handle) -> None:
+    def close(tar, handle, lines) -> None:
         tar.close()
-        handle.flush()
-        os.fsync(handle.fileno())
-        handle.close()
+        for f in (handle, lines):
+            f.flush()
+            os.fsync(f.fileno())
+            f.close()
 
     def commit(self, messages: list) -> None:
-        """Names shards in order after those there are, then writes the index rows of this job as JSON lines beside them, one file for each shard."""
+        """Names shards in order after those there are, with their index rows beside them; only names pass through the driver."""
         taken = [int(f[len(self.name) + 1 : -4]) for f in os.listdir(self.root) if f.startswith(self.name + "-") and f.endswith(".tar")]
-        number = max(taken, default=-1) + 1
         os.makedirs(os.path.join(self.root, "_index"), exist_ok=True)
-        for m in (m for m in messages if m):
-            final = {}
-            for partial, _ in m.shards:
-                final[partial] = f"{self.name}-{number:06d}.tar"
-                number += 1
-            names = INDEX.split(", ")
-            for partial, shard in final.items():
-                with open(os.path.join(self.root, "_index", f"{shard}.jsonl"), "w", encoding="utf-8") as f:
-                    for row in (r for r in m.rows if r[6] == partial):
-                        f.write(json.dumps(dict(zip((n.split()[0] for n in names), (*row[:6], shard, *row[7:]))), ensure_ascii=False) + "\n")
-                os.replace(os.path.join(self.root, partial), os.path.join(self.root, shard))
+        for number, partial in enumerate((s for m in messages if m for s in m.shards), max(taken, default=-1) + 1):
+            shard = f"{self.name}-{number:06d}.tar"
+            os.replace(os.path.join(self.root, f"{partial}.jsonl"), os.path.join(self.root, "_index", f"{shard}.jsonl"))
+            os.replace(os.path.join(self.root, partial), os.path.join(self.root, shard))
 
     def abort(self, messages: list) -> None:
-        for m in (m for m in messages if m):
-            for partial, _ in m.shards:
-                if os.path.exists(os.path.join(self.root, partial)):
-                    os.remove(os.path.join(self.root, partial))
+        for partial in (s for m in messages if m for s in m.shards):
+            for at in (os.path.join(self.root, partial), os.path.join(self.root, f"{partial}.jsonl")):
+                if os.path.exists(at):
+                    os.remove(at)
+
+
+def generation(root: str) -> str:
+    """The subfolder that holds the current shards; empty until the first compaction."""
+    try:
+        with open(os.path.join(root, "current.json"), encoding="utf-8") as f:
+            return json.load(f)["generation"]
+    except (OSError, ValueError, KeyError):
+        return ""
 
 
 def read_index(spark: SparkSession, root: str) -> DataFrame:
-    at = os.path.join(root, "_index")
+    """Index rows of the current generation; a shard's name is that of its index file."""
+    now = generation(root)
+    at = os.path.join(root, now, "_index")
     if not os.path.isdir(at) or not os.listdir(at):
         return spark.createDataFrame([], INDEX)
-    return spark.read.schema(INDEX).json(at)
+    rows = spark.read.schema(INDEX.replace("shard string, ", "")).json(at)
+    shard = F.concat(F.lit(f"{now}/" if now else ""), F.regexp_replace(F.col("_metadata.file_name"), r"\.jsonl$", ""))
+    return rows.withColumn("shard", shard).select(*(c.split()[0] for c in INDEX.split(", ")))
 
 
 def write_shards(samples: DataFrame, root: str, *, name: str = "data", most_rows: int = 100_000, most_bytes: int = 3_000_000_000) -> DataFrame:
@@ -115,13 +122,17 @@ def write_shards(samples: DataFrame, root: str, *, name: str = "data", most_rows
     spark.dataSource.register(TarShards)
     fresh = samples.dropDuplicates(["path"]).join(read_index(spark, root).select("path"), "path", "left_anti")
     cols = [c.split()[0] for c in SAMPLE.split(", ")]
-    fresh.select(*cols).write.format("tar_shards").option("path", root).option("name", name).option("most_rows", most_rows).option("most_bytes", most_bytes).mode("append").save()
+    fresh.select(*cols).write.format("tar_shards").option("path", os.path.join(root, generation(root))).option("name", name).option("most_rows", most_rows).option("most_bytes", most_bytes).mode("append").save()
     return read_index(spark, root).orderBy("shard", "path")
 
 
+def shard_counts(index: DataFrame) -> DataFrame:
+    return index.groupBy("shard").agg(F.count("*").alias("n"))
+
+
 def write_descriptor(index: DataFrame, root: str, name: str, state: str = "complete") -> dict:
     """The dataset's description by shard, and its marker; both are put in place at once."""
-    shards = [{"url": r["shard"], "nsamples": r["n"]} for r in index.groupBy("shard").agg(F.count("*").alias("n")).orderBy("shard").collect()]
+    shards = [{"url": r["shard"], "nsamples": r["n"]} for r in shard_counts(index).orderBy("shard").collect()]
     body = {"__kind__": "wids-shard-index-v1", "name": name, "shardlist": shards}
     for file, value in (("dataset.json", body), ("marker.json", {"state": state, "samples": sum(s["nsamples"] for s in shards)})):
         put_json(os.path.join(root, file), value)
@@ -136,24 +147,63 @@ def put_json(path: str, value) -> None:
     os.replace(path + ".new", path)
 
 
-def compact(spark: SparkSession, root: str, selected: DataFrame, *, name: str = "data", **bounds) -> DataFrame:
-    """Rewrites the shards with the selected samples only, in a new folder that then takes the old one's place. Nothing selected is an error."""
+def read_metadata(df: DataFrame, root: str) -> DataFrame:
+    """``df`` with meta: the source metadata of its samples as JSON, from the member after the image."""
+
+    @F.pandas_udf("string")
+    def fetch(shard, offset, size):
+        import pandas as pd
+
+        out = []
+        for s, o, n in zip(shard, offset, size):
+            with open(os.path.join(root, s), "rb") as f:
+                f.seek(o + padded(n))
+                header = f.read(512)
+                body = json.loads(f.read(int(header[124:136].strip(b"\0 "), 8)))
+            out.append(json.dumps(body.get("source_metadata", {}), ensure_ascii=False))
+        return pd.Series(out)
+
+    return df.withColumn("meta", fetch("shard", "offset", "size"))
+
+
+def compact(spark: SparkSession, root: str, selected: DataFrame, *, name: str = "data", before_switch=lambda: None, **bounds) -> DataFrame:
+    """Rewrites the shards with the selected samples only. Nothing selected is an error.
+
+    The new shards are a generation of their own; replacing current.json, one file, makes them the dataset. Stopped
+    before that, the old shards are still it and a rerun starts the generation again; stopped after it, the next
+    compaction removes what is left of the old one.
+    """
     from .files import read_ranges
 
+    drop_old(root)
     index = read_index(spark, root)
     keep = index.join(selected.select("image_id").distinct(), "image_id", "left_semi")
     if keep.isEmpty():
         raise ValueError("nothing is selected; refusing to empty the shards")
-    fresh = f"{root}.compacting"
-    shutil.rmtree(fresh, ignore_errors=True)
-    samples = read_ranges(keep, root).withColumn("meta", F.lit("{}"))
+    now = generation(root)
+    fresh = f"gen-{int(now[4:] or 0) + 1:06d}"
+    shutil.rmtree(os.path.join(root, fresh), ignore_errors=True)
     put_json(os.path.join(root, "marker.json"), {"state": "compacting"})
-    out = write_shards(samples, fresh, name=name, **bounds)
-    write_descriptor(out, fresh, name)
-    os.replace(root, f"{root}.old")
-    os.replace(fresh, root)
-    shutil.rmtree(f"{root}.old")
-    return read_index(spark, root).orderBy("shard", "path")
+    write_shards(read_metadata(read_ranges(keep, root), root), os.path.join(root, fresh), name=name, **bounds)
+    before_switch()
+    put_json(os.path.join(root, "current.json"), {"generation": fresh})
+    out = read_index(spark, root).orderBy("shard", "path")
+    write_descriptor(out, root, name)
+    drop_old(root)
+    return out
+
+
+def drop_old(root: str) -> None:
+    """Removes shards that aren't of the current generation, once there is one."""
+    now = generation(root)
+    if not now:
+        return
+    for f in os.listdir(root):
+        at = os.path.join(root, f)
+        if f == "_index" or (f.startswith("gen-") and f != now):
+            shutil.rmtree(at)
+        elif f.endswith(".tar"):
+            os.remove(at)
 
 
 def migrate(spark: SparkSession, images: DataFrame, root: str, name: str) -> str:

@@ -15,13 +15,16 @@ from ..operators.filters import is_fetchable
 FINAL = (400, 401, 403, 404, 410)
 
 
-def url_rows(metadata: DataFrame, column: str, *, id_col: str | None = None, required_true: str | None = None, source: str = "") -> DataFrame:
-    """(url, row_id, source), one row per distinct fetchable url; list columns are exploded; the required flag must be true."""
+def url_rows(metadata: DataFrame, column: str, *, id_col: str | None = None, required_true: str | None = None, source: str = "", limit: int = 0) -> DataFrame:
+    """(url, row_id, source), one row per distinct fetchable url; list columns are exploded; the required flag must be a true boolean. ``limit`` keeps the first urls in order, 0 all."""
     kind = dict(metadata.dtypes)[column]
-    rows = metadata.where(F.col(required_true).cast("boolean")) if required_true and dict(metadata.dtypes)[required_true] == "boolean" else metadata
+    rows = metadata
+    if required_true:
+        rows = metadata.where(F.col(required_true) if dict(metadata.dtypes)[required_true] == "boolean" else F.lit(False))
     url = F.explode(column) if kind.startswith("array") else F.col(column)
     out = rows.select(url.alias("url"), (F.col(id_col).cast("string") if id_col else F.lit("")).alias("row_id"), F.lit(source).alias("source"))
-    return out.where(is_fetchable(F.col("url"))).groupBy("url").agg(F.min("row_id").alias("row_id"), F.first("source").alias("source"))
+    out = out.where(is_fetchable(F.col("url"))).groupBy("url").agg(F.min("row_id").alias("row_id"), F.first("source").alias("source"))
+    return out.orderBy("url").limit(limit) if limit else out
 
 
 class Pacer:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..sources.paths import exists
 
 
 def ingest(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, key: str = "image_id") -> StreamingQuery:
@@ -15,7 +14,7 @@ def ingest(spark: SparkSession, source: str, schema: StructType, target: str, ch
 
     def add(batch: DataFrame, number: int) -> None:
         fresh = batch.dropDuplicates([key])
-        if os.path.isdir(target):
+        if exists(spark, target):
             fresh = fresh.join(spark.read.schema(schema).parquet(target).select(key), key, "left_anti")
         fresh.write.mode("append").parquet(target)
 

@@ -121,12 +121,22 @@ def test_shards(spark, tmp_path):
     assert got == {i: bytes([i]) * (i * 100) for i in (1, 2, 3)}
     assert shards.write_shards(samples(spark, [3, 4]).coalesce(1), root, name="d").count() == 4
     shards.write_descriptor(index, root, "d")
-    assert files.dataset_status(root) == "webdataset_complete"
+    assert files.dataset_status(spark, root) == "webdataset_complete"
     out = shards.compact(spark, root, spark.createDataFrame([(1,), (4,)], "image_id long"), name="d")
     assert {r["image_id"]: bytes(r["content"]) for r in files.read_ranges(out, root).collect()} == {1: b"\1" * 100, 4: b"\4" * 400}
     with pytest.raises(ValueError):
         shards.compact(spark, root, spark.createDataFrame([], "image_id long"), name="d")
     assert not [f for f in os.listdir(root) if f.endswith(".partial")]
+
+    def stop():
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        shards.compact(spark, root, spark.createDataFrame([(4,)], "image_id long"), name="d", before_switch=stop)
+    assert {r["image_id"] for r in files.read_ranges(shards.read_index(spark, root), root).collect()} == {1, 4}
+    out = shards.compact(spark, root, spark.createDataFrame([(4,)], "image_id long"), name="d")
+    assert [(r["image_id"], bytes(r["content"])) for r in files.read_ranges(out, root).collect()] == [(4, b"\4" * 400)]
+    assert [f for f in sorted(os.listdir(root)) if f.startswith("gen-")] == ["gen-000002"] and files.dataset_status(spark, root) == "webdataset_complete"
     assert shards.migrate(spark, samples(spark, []), str(tmp_path / "none"), "d") == "needs_download"
     assert shards.migrate(spark, samples(spark, [1]), root, "d") == "already_complete"
 
@@ -172,9 +182,12 @@ def test_curation_flow(spark, tmp_path):
     (src / "real" / "big.png").write_bytes(picture("circle", 400))
     (src / "real" / "broken.png").write_bytes(b"x")
     toml = tmp_path / "c.toml"
-    toml.write_text(f'work_dir = "{tmp_path}/work"\n[filters]\nlaplacian_min = 0.0001\nlaplacian_max = 1e9\n[[datasets]]\nname = "d"\npath = "{src}"\n[clustering]\nk = 2\n')
+    toml.write_text(f'[runtime]\nwork_dir = "{tmp_path}/work"\ndata_dir = "{tmp_path}/data"\n[filters]\nlaplacian_min = 0.0001\nlaplacian_max = 1e9\n[[datasets]]\nname = "d"\npath = "{src}"\n[clustering]\nk = 2\n')
     run = curate.Run(spark, config.load(str(toml)))
-    assert set(run.run().values()) == {"done"} and set(run.run().values()) == {"skipped"} or True
+    assert set(run.run().values()) == {"done"}
+    assert set(run.run().values()) == {"skipped"}
+    run.cfg.clustering.k = 1
+    assert [k for k, v in run.run().items() if v == "done"] == ["cluster", "manifest"]
     assert {r["reason"] for r in run.table("headerscan").where("reason is not null").collect()} == {"broken_header"}
     assert "laplacian_low" in {r["reason"] for r in run.table("fingerprint").collect()}
     kept = {os.path.basename(r["path"]) for r in run.table("dedup").collect()}
