@@ -1,6 +1,7 @@
 """Operators against brute force."""
 
 import base64
+import datetime
 import hashlib
 import random
 import re
@@ -11,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, jaccard, links, pii, prints, queries, rules, sharding
+from sievework.llm import bpe, jaccard, links, mixing, pii, prints, queries, rules, sharding
 from tests.helpers import duck_rows, spark_rows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -35,13 +36,12 @@ def texts(n, seed=0, families=12):
     return out
 
 
-def test_jaccard_equals_all_pairs(spark):
-    rows = texts(300) + ["shared passage " * 20 + f"own tail number {i} of many here" for i in range(30)]
-    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+def components(rows, k, percent):
+    """(sizes, least number of each row's component) by comparing all pairs."""
     sets = []
     for t in rows:
         w = WORD.findall(t.lower())
-        sets.append({tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))})
+        sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
     root = list(range(len(rows)))
 
     def find(x):
@@ -52,11 +52,67 @@ def test_jaccard_equals_all_pairs(spark):
     for i in range(len(rows)):
         for j in range(i):
             n = len(sets[i] & sets[j])
-            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
+            if sets[i] and 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
+    return [len(x) for x in sets], [find(i) for i in range(len(rows))]
+
+
+def test_jaccard_equals_all_pairs(spark):
+    rows = texts(300) + ["shared passage " * 20 + f"own tail number {i} of many here" for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df, k=4, percent=85).collect()}
-    assert got == {i: (len(sets[i]), find(i)) for i in range(len(rows))}
+    sizes, roots = components(rows, 4, 85)
+    assert got == {i: (sizes[i], roots[i]) for i in range(len(rows))}
+
+
+def test_jaccard_repeated_ids(spark):
+    """Links are between texts: an id on two texts joins nothing, and loses nothing. Ids may be text."""
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [("6", a), ("6", b), ("7", a + " more"), ("8", b + " more"), ("9", a), ("a", b), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = sorted((r["doc_id"] or "", r["component_id"]) for r in jaccard.jaccard_components(df).collect())
+    assert got == [("", "6"), ("6", "6"), ("6", "6"), ("7", "6"), ("8", "6"), ("9", "6"), ("a", "6")]
+    kept = sorted((r["doc_id"] or "", r["text"]) for r in jaccard.distinct_documents(df.unionByName(df)).collect())
+    assert kept == [("6", a), ("6", b)]
+
+
+def test_parity_bits_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        x = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400)).astype(np.uint64))
+        y = np.unique(np.concatenate([rng.permutation(x)[: rng.integers(0, len(x) + 1)], rng.integers(0, 1 << 63, rng.integers(1, 900)).astype(np.uint64)]))
+        assert jaccard.least_apart(jaccard.parity(x), jaccard.parity(y)) <= len(np.setxor1d(x, y))
+
+
+def test_pipeline_stages_equal_brute_force(spark, sf):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    stage = dict(p.STAGES)
+    kept = {r["doc_id"] for r in queries.op6_adaptive_rules(spark, sf).where("kept").collect()}
+    assert sorted(r["doc_id"] for r in stage["quality_rules"](spark, docs, sf).collect()) == sorted(kept)
+    rows = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
+    sizes, roots = components([t for _, t in rows], 5, 80)
+    want = [rows[i][0] for i in range(len(rows)) if roots[i] == i]
+    assert sorted(r["doc_id"] for r in stage["near_duplicates"](spark, docs, sf).collect()) == want
+    new = {r["doc_id"]: r["text"] for r in queries.op2_feistel_pseudonyms(spark, sf).collect()}
+    assert {r["doc_id"]: r["text"] for r in stage["pseudonyms"](spark, docs, sf).collect()} == new
+    copies = Counter({r["doc_id"]: r["copies"] if r["size"] else 1 for r in mixing.pareto_mix(docs).collect()})
+    assert Counter(r["doc_id"] for r in stage["mixing"](spark, docs, sf).collect()) == +copies
+
+
+def test_mix_draws_by_class(spark):
+    """Long documents are drawn twice as often as short ones, whatever the source's rate, and targets are met."""
+    rng = random.Random(8)
+    rows = [(i, "w " * (150 if rng.random() < 0.5 else 50), "abc"[min(2, i % 5)]) for i in range(6000)]
+    got = mixing.pareto_mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    by = {r["doc_id"]: r for r in got}
+    for s in "abc":
+        mine = [by[i] for i, _, x in rows if x == s]
+        long, short = (np.mean([r["copies"] for r in mine if r["size"] == n]) for n in (150, 50))
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 150
+        assert long == 3 or abs(long / short - 2) < 0.25, (s, long, short)
 
 
 def test_divide_skip():
@@ -84,9 +140,16 @@ def test_bpe_equals_library():
 
 
 def test_bpe_query(spark, sf):
-    got = {r["doc_id"]: r["decoded_sha256"] for r in queries.op5_byte_bpe(spark, sf).collect()}
-    want = {r["doc_id"]: hashlib.sha256(r["text"].encode()).hexdigest() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    assert got == want
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        found = lib.encode_ordinary(r["text"] or "")
+        want[r["doc_id"]] = (len(found), hashlib.sha256(np.array(found, "<u4").tobytes()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest())
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in queries.op5_byte_bpe(spark, sf).collect()} == want
 
 
 def test_repeated_words():
@@ -150,6 +213,19 @@ def likeness(a, b):
     return sum(min(a[x], b[x]) for x in set(a) | set(b)) / max(1, sum(max(a[x], b[x]) for x in set(a) | set(b)))
 
 
+def test_fingerprints_of_long_texts(spark):
+    """Likeness is right on average for bags of few and of many words."""
+    rng = random.Random(11)
+    for n, pairs in ((100, 60), (2000, 30), (20000, 8)):
+        rows = []
+        for i in range(2 * pairs):
+            words = [w for j in range(n * 4 // 5) for w in [f"s{i // 2}x{j}"] * rng.randrange(1, 4)] + [f"o{i}x{j}" for j in range(n // 5)]
+            rows.append(" ".join(rng.sample(words, len(words))))
+        got = {r["doc_id"]: r["near_next"] for r in prints.edited_fingerprints(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+        err = [got[i] - likeness(Counter(rows[i].split()), Counter(rows[i - 1].split())) for i in range(1, 2 * pairs, 2)]
+        assert abs(np.mean(err)) < 4 * 0.06 / pairs**0.5, (n, np.mean(err))
+
+
 def test_fingerprints(spark):
     rows = texts(120, 5)
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
@@ -185,6 +261,43 @@ def test_pseudonyms_permute(spark):
     assert a != b and "4000000000000003" in a and "12345" in a and "555-7713" not in a and "a@b.co" not in a
 
 
+def feistel(left, right, a, b, tweak, key):
+    for i in range(8):
+        f = lambda x: int(hashlib.sha256(f"{key}|{tweak}|{i}|{x}".encode()).hexdigest()[:15], 16)  # noqa: B023, E731
+        left, right = ((left + f(right)) % a, right) if i % 2 == 0 else (left, (right + f(left)) % b)
+    return left, right
+
+
+def test_pseudonyms_equal_plain_feistel(spark):
+    rng = random.Random(6)
+    ips = [".".join(str(rng.randrange(256)) for _ in range(4)) for _ in range(60)]
+    ssns = [f"{rng.choice([1, 665, 667, 899, rng.randrange(1, 600)]):03}-{rng.randrange(1, 100):02}-{rng.randrange(1, 10000):04}" for _ in range(60)]
+    cards = [f"{x}{next(c for c in range(10) if luhn(f'{x}{c}'))}" for x in (str(rng.randrange(10**14, 10**15)) for _ in range(60))]
+    want = []
+    for v in ips:
+        p = [int(x) for x in v.split(".")]
+        x, y = feistel(p[0] * 256 + p[1], p[2] * 256 + p[3], 65536, 65536, "ipv4", "k")
+        want.append(f"{x // 256}.{x % 256}.{y // 256}.{y % 256}")
+    for v in ssns:
+        area, group, serial = map(int, v.split("-"))
+        x, y = feistel(area - 2 if area > 666 else area - 1, (group - 1) * 9999 + serial - 1, 898, 99 * 9999, "ssn", "k")
+        want.append(f"{x + 2 if x >= 665 else x + 1:03}-{y // 9999 + 1:02}-{y % 9999 + 1:04}")
+    for v in cards:
+        x, y = feistel(int(v[:7]), int(v[7:15]), 10**7, 10**8, "card/15", "k")
+        new = f"{x:07}{y:08}"
+        want.append(new + next(str(c) for c in range(10) if luhn(new + str(c))))
+    df = spark.createDataFrame([(i, f"a {v} b") for i, v in enumerate([*ips, *ssns, *cards])], "doc_id long, text string")
+    assert [r["text"][2:-2] for r in pii.pseudonymise(df, key="k").orderBy("doc_id").collect()] == want
+
+
+def test_slash_dates_stay_apart(spark):
+    days = [datetime.date(y, 1, 1) + datetime.timedelta(d) for y in (1900, 1999, 2000, 2024) for d in range(0, 365, 3)] + [datetime.date(y, 2, 29) for y in range(1920, 2020, 4)]
+    values = sorted({d.strftime(f) for d in days for f in ("%m/%d/%Y", "%d/%m/%Y")})
+    df = spark.createDataFrame([(i, v, "mine", "too") for i, v in enumerate(values)], "doc_id long, text string, _found string, _new string")
+    out = pii.pseudonymise(df, key="k").orderBy("doc_id").collect()
+    assert len({r["text"] for r in out}) == len(values) and {(r["_found"], r["_new"]) for r in out} == {("mine", "too")}
+
+
 def test_pseudonyms_in_running_text(spark):
     hidden = {
         "pay DE89 3704 0044 0532 0130 00 BIC COBADEFF": ["0532 0130"], "DE89370400440532013000 EUR 200": ["0400440532"], "DE89370400440532013000 2024": ["0400440532"],
