@@ -7,13 +7,13 @@ from sievework.functions import images
 from sievework.sources import files, raw
 
 
-def test_snapshot_and_raw(tmp_path):
+def test_snapshot_and_raw(spark, tmp_path):
     repo, root = tmp_path / "repo", str(tmp_path / "root")
     (repo / "a").mkdir(parents=True)
     (repo / "a" / "x.txt").write_text("1")
     at = raw.snapshot(root, str(repo), raw.local_fetch)
     assert raw.snapshot(root, "nowhere", None) == at and os.path.isfile(os.path.join(at, "a", "x.txt"))
-    assert raw.archive_raw(at, root, "d") == 1 and files.dataset_status(root) == "raw_tar_complete"
+    assert raw.archive_raw(at, root, "d") == 1 and files.dataset_status(spark, root) == "raw_tar_complete"
     assert raw.clean_up(root) >= 1 and not os.path.isdir(at)
 
     def fails(*a, **b):
