@@ -22,23 +22,30 @@ def round_robin(df: DataFrame, *, quota: int = 0, cap: int = 0, seed: int = 42)
 
 
 def trim_majority(picked: DataFrame, ratio: float) -> DataFrame:
-    """Keeps at most ratio x minority of the majority label, in turns from its generators; label -1 and single-label pools stay whole."""
+    """Keeps at most ratio x minority of the majority label, in turns from its generators; labels -1 and null and single-label pools stay whole.
+
+    The last turn that is taken, and the last generator in it, follow from the sizes of the generators alone, a row
+    each; so rows are dealt by generator once, and two single rows are broadcast.
+    """
     if ratio <= 0:
         return picked
     n = picked.agg(F.count_if(F.col("label") == 0).alias("reals"), F.count_if(F.col("label") == 1).alias("fakes")).select(
-        F.when(F.col("reals") > F.col("fakes"), 0).otherwise(1).alias("majority"),
-        F.when((F.col("reals") > 0) & (F.col("fakes") > 0), F.bround(F.least("reals", "fakes") * F.lit(float(ratio))).cast("long")).alias("target"),
+        F.when(F.col("reals") > F.col("fakes"), 0).otherwise(1).alias("_majority"),
+        F.when((F.col("reals") > 0) & (F.col("fakes") > 0), F.bround(F.least("reals", "fakes") * F.lit(float(ratio))).cast("long")).alias("_target"),
     )
-    mine = Window.partitionBy("majority_row", "generator").orderBy("pick")
-    out = picked.join(F.broadcast(n)).withColumn("majority_row", (F.col("label") == F.col("majority")) & F.col("target").isNotNull())
-    out = out.withColumn("turn", F.row_number().over(mine))
-    # Turns that are full are counted, so only the last turn needs an order across generators.
-    turns = out.where("majority_row").groupBy("turn").agg(F.count("*").alias("n"))
-    upto = turns.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = out.join(F.broadcast(upto), "turn", "left")
-    place = F.row_number().over(Window.partitionBy("majority_row", "turn").orderBy("generator"))
-    out = out.withColumn("place", F.col("before") + place)
-    return out.where(~F.col("majority_row") | (F.col("place") <= F.col("target"))).drop("majority", "target", "majority_row", "turn", "n", "before", "place")
+    out = picked.join(F.broadcast(n)).withColumn("_mine", F.coalesce((F.col("label") == F.col("_majority")) & F.col("_target").isNotNull(), F.lit(False)))
+    sizes = out.where("_mine").groupBy("generator").agg(F.count("*").alias("size"), F.max("_target").alias("target"))
+    # From the smallest generator on: rows of those used up before, and how many still have rows.
+    by = Window.orderBy("size", "generator")
+    before = F.coalesce(F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    steps = sizes.select("size", "target", before.alias("before"), F.count("*").over(by.rowsBetween(0, Window.unboundedFollowing)).alias("left"))
+    step = steps.where("before + size * left >= target").agg(F.min(F.struct("size", "before", "left", "target")).alias("s")).select("s.before", "s.left", F.col("s.target").alias("goal"))
+    full = step.select(F.expr("(goal - before + left - 1) div left").alias("_full"), "*").select("_full", F.expr("goal - before - (_full - 1) * left").alias("rest"))
+    there = sizes.join(F.broadcast(full)).where("size >= _full").withColumn("place", F.row_number().over(Window.orderBy("generator")))
+    edge = there.where("place <= rest").agg(F.max("_full").alias("_full"), F.max("generator").alias("_last"))
+    out = out.withColumn("_turn", F.row_number().over(Window.partitionBy("_mine", "generator").orderBy("pick"))).join(F.broadcast(edge))
+    in_last = (F.col("_turn") == F.col("_full")) & (F.col("generator").isNull() | F.coalesce(F.col("generator") <= F.col("_last"), F.lit(False)))
+    return out.where(~F.col("_mine") | F.col("_full").isNull() | (F.col("_turn") < F.col("_full")) | in_last).select(*picked.columns)
 
 
 def stratum_quotas(sizes: DataFrame, budget: int, floor: int) -> DataFrame:
@@ -55,5 +62,3 @@ def stratified_sample(df: DataFrame, quotas: DataFrame, *, seed: int = 42) -> Da
     """Rows of each cluster of least seeded hash, as many as its quota."""
     order = Window.partitionBy("cluster_id").orderBy(seeded_order(F.col("image_id"), seed), "image_id")
     return df.withColumn("place", F.row_number().over(order)).join(quotas.select("cluster_id", "quota"), "cluster_id").where("place <= quota").drop("place", "quota")
-
-

@@ -117,6 +117,20 @@ def test_round_robin_and_trim(spark):
     assert balance.trim_majority(picked, 0).count() == 17
 
 
+@pytest.mark.parametrize("ratio", [0.0, 0.01, 0.5, 1.0, 1.7, 50.0])
+def test_trim_in_turns(spark, ratio):
+    sizes = {None: 3, "a": 1, "b": 9, "c": 4, "d": 4, "e": 20}
+    rows = [(1000 * k + i, g, 1, i + 1) for k, (g, n) in enumerate(sizes.items()) for i in range(n)]
+    rows += [(9000 + i, "b", 0, 100 + i) for i in range(10)] + [(9900, "b", -1, 200), (9901, None, None, 201)]
+    target = round(10 * ratio)
+    drawn = sorted((r for r in rows if r[2] == 1), key=lambda r: (r[3], r[1] is not None, r[1] or ""))
+    want = {r[0] for r in rows if r[2] != 1} | {r[0] for r in (drawn[:target] if ratio else drawn)}
+    df = spark.createDataFrame(rows, "image_id long, generator string, label int, pick int")
+    assert {r[0] for r in balance.trim_majority(df, ratio).collect()} == want
+    assert balance.trim_majority(df.where("label = 1"), ratio).count() == len(drawn)
+    assert balance.trim_majority(df.limit(0), ratio).isEmpty()
+
+
 def test_split_fractions(spark):
     got = {r[0]: r[1] for r in spark.range(5000).select(ids.split_of(ids.split_draw(F.col("id"), 42), 0.1, 0.2).alias("s")).groupBy("s").count().collect()}
     assert 850 < got["val"] < 1150 and 400 < got["test"] < 600
