@@ -1,11 +1,15 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame operations only.
 
 A document is a bag of words weighted by their counts. For each of SAMPLES samples every term draws r and
-c from Gamma(2, 1), each as -ln(u v) of two 32-bit uniforms, and b from Uniform(0, 1), all from hashes of term and sample. With weight S,
-t = floor(ln S / r + b) and ln a = ln c - r (t - b + 1); the term of least a is the sample. a depends on
+c from Gamma(2, 1) and b from Uniform(0, 1), all from hashes of term and sample. With weight S,
+t = floor(ln S / r + b) and a = c exp(-r (t - b + 1)); the term of least a is the sample. a depends on
 nothing but sample, term and t, so its bits stand for the pair (term, t). Two documents agree in a sample
 with the probability of their generalised Jaccard similarity: sum of least counts by sum of greatest.
-The variates are exact in both tails, which decide the least of many terms.
+
+The draws come from four 32-bit uniforms: c = -ln(u3 u4), and r and b from two exponential variates,
+r = -ln u1 - ln u2 and b = -ln u1 / r, which are independent and of those distributions. Then r (1 - b) is
+-ln u2, so a = c u2 (u1 u2)**t, and t is 0 just if u2 S < 1: one logarithm for most terms. The variates are
+exact in both tails, which decide the least of many terms.
 
 Counts of words are made within the row, by sorting the hashes of a text's words; so no row of a word is
 ever shuffled, and the minima of a document are taken where its text lies.
@@ -37,9 +41,12 @@ def uniform(h: Column, high: bool) -> Column:
     return (bits.cast("double") + 0.5) * math.ldexp(1.0, -32)
 
 
-def gamma(h: Column) -> Column:
-    """Gamma(2, 1): the sum of two exponential variates."""
-    return -F.log(uniform(h, True) * uniform(h, False))
+def sampled(term: Column, count: Column, log_count: Column) -> Column:
+    """a of a term, whose hash with the sample is ``term``."""
+    again = F.xxhash64(term)
+    u1, u2 = uniform(again, False), uniform(again, True)
+    t = F.greatest(F.lit(1), F.floor((log_count - F.log(u1)) / -F.log(u1 * u2)))
+    return -F.log(uniform(term, True) * uniform(term, False)) * u2 * F.when(u2 * count < 1, 1.0).otherwise(F.pow(u1 * u2, t))
 
 
 def sample_keys(samples: int) -> list[int]:
@@ -56,17 +63,14 @@ def bag_fingerprints(docs: DataFrame, text: Column, keys: list[str], samples: in
     terms = F.transform("_at", lambda p, i: F.struct(F.get(F.col("_s"), p).alias("_term"), (ends(i) - p).alias("_count")))
     none = F.array(F.struct(F.lit(NO_WORD).cast("long").alias("_term"), F.lit(1).alias("_count")))
     rows = rows.select(*keys, F.inline(F.when(F.size("_s") > 0, terms).otherwise(none)))
-    rows = rows.select(*keys, "_term", F.when(F.col("_count") == 1, 0.0).otherwise(F.log("_count")).alias("_w"))
+    rows = rows.select(*keys, "_term", F.col("_count").cast("double").alias("_count"), F.when(F.col("_count") == 1, 0.0).otherwise(F.log("_count")).alias("_w"))
     # Each row serves GROUP samples at a time, which keeps an expression below the size that is compiled.
     salts = sample_keys(samples // GROUP + GROUP)
     rows = rows.select("*", F.posexplode(F.array(*map(F.lit, salts[GROUP:]))).alias("_group", "_salt"))
     parts = []
     for j in range(GROUP):
         h = F.xxhash64(F.col("_term").bitwiseXOR(F.lit(salts[j])).bitwiseXOR(F.col("_salt")))
-        again = F.xxhash64(h)
-        r, log_c = gamma(h), F.log(gamma(again))
-        b = F.shiftrightunsigned(F.xxhash64(again), 11).cast("double") * math.ldexp(1.0, -53)
-        least = F.min(log_c - r * (F.floor(F.col("_w") / r + b) - b + 1))
+        least = F.min(sampled(h, F.col("_count"), F.col("_w")))
         parts.append(F.lpad(F.hex(F.xxhash64(least).bitwiseAND(F.lit(0xFFFF))), 4, "0"))
     rows = rows.groupBy(*keys, "_group").agg(F.lower(F.concat(*parts)).alias("_part"))
     return rows.groupBy(*keys).agg(F.concat(*(F.max(F.when(F.col("_group") == g, F.col("_part"))) for g in range(samples // GROUP))).alias("fingerprint"))
