@@ -19,7 +19,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BASE = 0x9E3779B97F4A7C15 | 1
 MIX1, MIX2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
-CHUNK = 1 << 21
+CHUNK = 1 << 18  # bytes; what is made of a piece takes some forty times as many
 _powers: list[np.ndarray] = []
 
 
@@ -33,7 +33,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse modulo 2**64 for i < n at least."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, CHUNK + 1)
+        size = max(1 << n.bit_length(), CHUNK + 1)
         both = []
         for b in (BASE, pow(BASE, -1, 1 << 64)):
             a = np.full(size, U(b))

@@ -107,16 +107,18 @@ def measure(column: pa.Array, window: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def text_stats(docs: DataFrame, *, text_col: str, keep: tuple[str, ...], window: int = 8) -> DataFrame:
-    """The columns ``keep`` and, as _n_words and so on, the statistics of each whole text. No shuffle."""
+    """The columns ``keep`` and, as _n_words and so on, the statistics of each whole text. No shuffle; the text is sent to Python once, also if it is kept."""
     schema = StructType([docs.schema[c] for c in keep] + [StructField(f"_{x}", LongType()) for x in STATS])
+    sent = (*keep, *({text_col} - set(keep)))
+    at = sent.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, out in measure(batch.column(len(keep)), window):
+            for lo, out in measure(batch.column(at), window):
                 part = batch.slice(lo, len(out))
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + [pa.array(out[:, j]) for j in range(len(STATS))], names=schema.names)
 
-    return docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in sent)).mapInArrow(run, schema)
 
 
 def bucket(m: Measure) -> Column:
@@ -204,9 +206,8 @@ def adaptive_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 def kept_documents(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_words: int = 20, most_repeated: int = 30, window: int = 8) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns. Texts are measured twice, for the sketches and for the verdict, so that none is shuffled or written."""
     named = docs.toDF(*(f"_c{i}" for i in range(len(docs.columns))))
-    at = {c: F.col(f"_c{docs.columns.index(c)}") for c in (text_col, lang_col, source_col)}
-    named = named.select("*", at[text_col].alias("_words"), at[lang_col].alias("_lang"), at[source_col].alias("_source"))
-    tables = all_fences(judged(text_stats(named, text_col="_words", keep=("_lang", "_source"), window=window), min_words, most_repeated))
-    every = tuple(c for c in named.columns if c != "_words")
-    rows = verdict(judged(text_stats(named, text_col="_words", keep=every, window=window), min_words, most_repeated), tables)
+    text, lang, source = (f"_c{docs.columns.index(c)}" for c in (text_col, lang_col, source_col))
+    named = named.select("*", F.col(lang).alias("_lang"), F.col(source).alias("_source"))
+    tables = all_fences(judged(text_stats(named, text_col=text, keep=("_lang", "_source"), window=window), min_words, most_repeated))
+    rows = verdict(judged(text_stats(named, text_col=text, keep=tuple(named.columns), window=window), min_words, most_repeated), tables)
     return rows.where("_kept").select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)))
