@@ -151,7 +151,7 @@ def q_exact_removed(spark, sf):
 
 
 def hashed(spark, sf):
-    e = t(spark, sf, "embeddings")
+    e = t(spark, sf, "embeddings").where("embedding is not null")
     return e.select("vec_id", vectors.sign_bits(F.col("embedding"), 0, 64).alias("w"), vectors.sign_bits(F.col("embedding"), 0, 14).alias("c"))
 
 
@@ -182,8 +182,8 @@ roots AS (SELECT id, MIN(root) AS root FROM cc GROUP BY id)"""
   SELECT image_id, first_value(image_id) OVER (PARTITION BY root ORDER BY {BEST}) AS kept_image_id FROM n WHERE k > 1""")
 def q_near_dedup(spark, sf):
     known = images(spark, sf)
-    both = hash_pairs(spark, sf).join(known.select(F.col("image_id").alias("a")), "a", "left_semi").join(known.select(F.col("image_id").alias("b")), "b", "left_semi")
-    return dedup.near_duplicates(known, both)
+    rows = hashed(spark, sf).join(known.select(F.col("image_id").alias("vec_id")), "vec_id", "left_semi")
+    return dedup.best_of_components(known, dedup.hamming_components(rows, id_col="vec_id", words=["w"], tau=TAU, residual=(["c"], TAU2)))
 
 
 CENT = "ce AS (SELECT cluster_id, list(x ORDER BY dim) AS centroid FROM (SELECT label AS cluster_id, dim, AVG(x::DOUBLE) AS x FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings) GROUP BY label, dim) GROUP BY cluster_id)"

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from sievework import catalog
 from tests.helpers import duck_rows, spark_rows
@@ -40,3 +41,17 @@ def test_images_without_vectors_link_nothing(spark, sf):
     inside = [p for p in pairs if set(p) <= known]
     assert len(inside) < len(pairs)
     assert {r["image_id"] for r in catalog.q_near_dedup(spark, sf).collect()} == {i for p in inside for i in p}
+
+
+def test_near_dedup_lists_no_pairs(spark, sf, tmp_path, monkeypatch):
+    """20 copies of the vectors and missing ones: pairs of rows would be 400 times as many, and a missing vector links with nothing."""
+    monkeypatch.setattr(catalog.dedup, "hamming_pairs", lambda *a, **k: pytest.fail("pairs"))
+    few = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")
+    labels, vecs = spark.read.parquet(f"{sf}/labels.parquet"), spark.read.parquet(f"{sf}/embeddings.parquet").where("vec_id < 60")
+    vecs = vecs.withColumn("embedding", F.when(F.col("vec_id") % 10 != 3, F.col("embedding")))
+    copies = spark.range(20).select((F.col("id") * 60).alias("id"))
+    for name, key, df in (("documents", "doc_id", few), ("labels", "doc_id", labels.where("doc_id < 60")), ("embeddings", "vec_id", vecs)):
+        df.crossJoin(copies).withColumn(key, F.col(key) + F.col("id")).drop("id").coalesce(1).write.parquet(str(tmp_path / "parts" / name))
+        next((tmp_path / "parts" / name).glob("part-*")).rename(tmp_path / f"{name}.parquet")
+    rows = spark_rows(catalog.q_near_dedup(spark, str(tmp_path)))
+    assert rows == duck_rows(catalog.ORACLES["q_near_dedup"], str(tmp_path)) and rows[1]

@@ -65,6 +65,50 @@ def test_hamming_pairs(spark, bits, tau):
     assert got == want and got
 
 
+@pytest.mark.parametrize("words,bits,tau,groups,limits", [(1, 64, 20, 1, {}), (1, 64, 6, 4, {"SEEDS": 16, "TILE": (8, 32)}), (3, 144, 8, 3, {"MOST_SENT": 64, "TILE": (8, 32)}), (1, 64, 6, 3, {"SEEDS": 8, "MOST_SETTLED": 0})])
+def test_hamming_components(spark, monkeypatch, words, bits, tau, groups, limits):
+    """Groups around centres, one of them most rows, chains from one row to the next, copies, lone rows and a missing hash, against all pairs."""
+    for k, v in limits.items():
+        monkeypatch.setattr(dedup, k, v)
+    rng = random.Random(bits + tau)
+    flipped = lambda h, n: h ^ sum(1 << i for i in rng.sample(range(bits), n))
+    hashes = [flipped(c, rng.randrange(tau)) for g in range(groups) for c in [rng.getrandbits(bits)] for _ in range(30 if g else 300)]
+    for start in (hashes[0], rng.getrandbits(bits)):
+        for _ in range(25):
+            hashes.append(start := flipped(start, tau))
+    hashes += [rng.getrandbits(bits) for _ in range(60)] + hashes[:5] * 3 + [rng.getrandbits(bits)] * 4
+    ids = rng.sample(range(-(10**12), 10**12), len(hashes))
+    extra = [rng.getrandbits(1) * 15 for _ in hashes]
+    parent = list(range(len(hashes)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    alone = set(range(len(hashes)))
+    for i in range(len(hashes)):
+        for j in range(i):
+            if (hashes[i] ^ hashes[j]).bit_count() <= tau and (extra[i] ^ extra[j]).bit_count() <= 3:
+                alone -= {i, j}
+                parent[top(i)] = top(j)
+    least = {}
+    for i in range(len(hashes)):
+        least[top(i)] = min(least.get(top(i), ids[i]), ids[i])
+    cut = lambda h, w: ((h >> 64 * w & (1 << 64) - 1) ^ 1 << 63) - (1 << 63)
+    rows = [(i, *(cut(h, w) for w in range(words)), e) for i, h, e in zip(ids, hashes, extra)] + [(10**13, *[None] * words, 0), (10**13 + 1, *[None] * words, 0)]
+    names = [f"w{w}" for w in range(words)]
+    df = spark.createDataFrame(rows, f"id long, {', '.join(f'{w} long' for w in names)}, e long").repartition(3)
+    got = sorted(tuple(r) for r in dedup.hamming_components(df, id_col="id", words=names, tau=tau, residual=(["e"], 3)).collect())
+    assert got == sorted((ids[i], least[top(i)]) for i in range(len(ids)) if i not in alone) and len({r for _, r in got}) > 1
+
+
+def test_hamming_components_of_nothing(spark):
+    empty = spark.createDataFrame([], "id long, w long")
+    assert dedup.hamming_components(empty, id_col="id", words=["w"], tau=3).isEmpty()
+    assert dedup.hamming_components(spark.createDataFrame([(1, 5)], empty.schema), id_col="id", words=["w"], tau=3).isEmpty()
+
+
 def test_words_of(spark):
     raw = bytes(range(1, 19))
     got = spark.createDataFrame([(bytearray(raw),)], "b binary").select(*vectors.words_of(F.col("b"), 18)).first()
